@@ -131,6 +131,23 @@ def rewrite_question(question: Column | str) -> Column:
     return F.trim(F.regexp_replace(low, WH_LEAD, ""))
 
 
+def two_decimals(x: Column) -> Column:
+    """A non-negative number with two decimals, correctly rounded, ties to even.
+
+    ``format_string`` rounds the shortest decimal form half up, which differs for values
+    such as 8.125. Here x * 100 is kept exactly as a product and its error term.
+    """
+    scaled = x * 134217729.0
+    high = scaled - (scaled - x)
+    product = x * 100.0
+    error = (high * 100.0 - product) + (x - high) * 100.0
+    whole = F.floor(product)
+    over = product - whole - 0.5
+    tie_up = (over == 0) & ((error > 0) | ((error == 0) & (whole % 2 == 1)))
+    cents = whole + F.when((over > 0) | tie_up, 1).otherwise(0)
+    return F.format_string("%d.%02d", F.floor(cents / 100), cents % 100)
+
+
 def format_entry(
     id_: str = "id", type_: str = "data_type", source: str = "source",
     status: str = "status", quality: str = "quality_score", metadata: str = "metadata",
@@ -141,6 +158,6 @@ def format_entry(
         F.lit(", type: "), F.col(type_),
         F.lit(", source: "), F.col(source),
         F.lit(", status: "), F.col(status),
-        F.lit(", quality: "), F.format_string("%.2f", F.col(quality)),
+        F.lit(", quality: "), two_decimals(F.col(quality)),
         F.lit(", metadata: "), F.col(metadata),
     )

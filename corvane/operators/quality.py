@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corvane.functions import text as T
 from corvane.functions.lexicons import KB_TYPES
+from corvane.functions.staging import stage
 
 HEAD_CHARS = 1000  # features look at the first 1,000 characters
 
@@ -37,18 +38,17 @@ def text_features(
     can replace these three columns; ``validate`` only reads them.
     """
     head = F.substring(F.col(content), 1, HEAD_CHARS)
-    staged = df.withColumn("_head", head).withColumn("_tokens", T.letter_tokens("_head"))
     stops = list(stop_words)
     tokens = F.col("_tokens")
-    return staged.select(
-        *df.columns,
-        (
-            gazetteer_hits(tokens, names)
-            + F.regexp_count(F.col("_head"), F.lit(T.CAPITAL_RUN))
-        ).alias("n_entities"),
-        F.size(F.filter(tokens, lambda t: ~t.isin(stops))).alias("n_tokens"),
-        T.polarity(tokens, sentiment).alias("polarity"),
+    read = stage(stage(df, _head=head), _tokens=T.letter_tokens("_head"))
+    counted = stage(
+        read,
+        n_entities=gazetteer_hits(tokens, names)
+        + F.regexp_count(F.col("_head"), F.lit(T.CAPITAL_RUN)),
+        n_tokens=F.size(F.filter(tokens, lambda t: ~t.isin(stops))),
+        polarity=T.polarity(tokens, sentiment),
     )
+    return counted.drop("_head", "_tokens")
 
 
 def custom_rules(content: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
@@ -114,7 +114,7 @@ def validate(
         F.col("message").isin("too_short", "too_long") | F.col("message").startswith("rule:")
     )
     return (
-        df.withColumn("message", message)
+        stage(df, message=message)
         .withColumn("validated", F.col("message") == "valid")
         .withColumn("quality_score", F.when(rejected, 0.0).otherwise(F.round(score, 6)))
     )
@@ -134,7 +134,7 @@ def entity_mentions(
     if head_chars is not None:
         body = F.substring(body, 1, head_chars)
     base = df.select(F.col(id_col).alias("id"), body.alias("_body"))
-    tokens = base.withColumn("_t", T.letter_tokens("_body"))
+    tokens = stage(base, _t=T.letter_tokens("_body"))
     grams = reduce(
         DataFrame.unionByName,
         [
@@ -228,7 +228,7 @@ def char_trigrams(df: DataFrame, id_col: str, content: str, *keep: str) -> DataF
     ``substr`` on UTF-8 strings.
     """
     chars = F.split(F.substring(F.col(content), 1, HEAD_CHARS), "")
-    split = df.select(F.col(id_col).alias("id"), *keep, chars.alias("_c"))
+    split = stage(df.select(F.col(id_col).alias("id"), *keep, content), _c=chars)
     return split.filter(F.size("_c") >= 3).select(
         "id", *keep, F.explode(char_windows(F.col("_c"), 3)).alias("gram")
     )
@@ -274,9 +274,9 @@ def detect_language(
     missing = profiles.groupBy("lang").agg(F.max("logp_missing").alias("logp_missing"))
     scored = (
         matched.join(sizes, "id").join(missing, "lang")
-        .withColumn("score", F.round(F.col("gain") + F.col("n_grams") * F.col("logp_missing"), 6))
+        .withColumn("score", F.col("gain") + F.col("n_grams") * F.col("logp_missing"))
     )
     return scored.groupBy("id").agg(
-        F.max_by("lang", F.struct("score", "lang")).alias("detected"),
+        F.max_by("lang", F.struct(F.round("score", 6), "lang")).alias("detected"),
         F.max("score").alias("score"),
     )

@@ -1,6 +1,8 @@
 """All registered queries."""
 
-from corvane.plans import text_queries  # noqa: F401
+from corvane.plans import (  # noqa: F401
+    decoding_queries, entry_queries, text_queries,
+)
 from corvane.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

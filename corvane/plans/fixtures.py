@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corvane.functions import text as T
 from corvane.functions.lexicons import KNOWLEDGE_BASE, STOP_WORDS
+from corvane.functions.staging import stage
 from corvane.operators import quality, retrieval
 
 NAMES = KNOWLEDGE_BASE + [
@@ -48,8 +49,19 @@ STAMP = "2024-01-01 00:00:00"
 LATER = "2024-02-01 00:00:00"
 
 
+TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+SPREAD_BYTES = 1 << 30
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. A small text table that sits in one row group would be read and
+    processed by one task, so its rows are dealt out; large tables stay as scanned."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    if name not in TEXT_KEYS:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, TEXT_KEYS[name]) if size <= SPREAD_BYTES else df
 
 
 def kb(spark: SparkSession) -> DataFrame:
@@ -90,16 +102,22 @@ def raw_entries(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def normal_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries with normalised content."""
+    raw = raw_entries(spark, sf)
+    kept = [c for c in raw.columns if c != "content"]
+    named = raw.select(*kept, F.col("content").alias("_raw"))
+    return stage(named, content=T.normalize_ws("_raw")).select(*raw.columns)
+
+
 def entries(spark: SparkSession, sf: str) -> DataFrame:
     """Validated entries: id, data_type, content, source, metadata, features, verdict."""
-    raw = raw_entries(spark, sf).withColumn("content", T.normalize_ws("content"))
-    return validator()(raw)
+    return validator()(normal_entries(spark, sf))
 
 
 def sentences(spark: SparkSession, sf: str) -> DataFrame:
     """All sentences: entry_id, pos, sentence, sentence_id."""
-    normal = raw_entries(spark, sf).withColumn("content", T.normalize_ws("content"))
-    return retrieval.sentences_of(normal).withColumn("sentence_id", retrieval.sentence_id())
+    return retrieval.sentences_of(normal_entries(spark, sf)).withColumn("sentence_id", retrieval.sentence_id())
 
 
 def questions(spark: SparkSession, sf: str) -> DataFrame:

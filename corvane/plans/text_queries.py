@@ -30,15 +30,15 @@ p AS (SELECT lang, gram, ln((n + 1) / (total + v)::DOUBLE) AS logp, ln(1 / (tota
 m AS (SELECT lang, max(miss) AS miss FROM p GROUP BY lang),
 z AS (SELECT doc_id, count(*) AS k FROM g GROUP BY doc_id),
 s AS (SELECT g.doc_id, p.lang, sum(logp - miss) AS gain FROM g JOIN p ON g.gram = p.gram GROUP BY ALL),
-r AS (SELECT doc_id, lang, round(gain + k * miss, 6) AS score FROM s JOIN z USING (doc_id) JOIN m USING (lang))
-SELECT doc_id, arg_max(lang, (score, lang)) AS detected, round(max(score), 4) AS score FROM r GROUP BY doc_id""")
+r AS (SELECT doc_id, lang, gain + k * miss AS score FROM s JOIN z USING (doc_id) JOIN m USING (lang))
+SELECT doc_id, arg_max(lang, (round(score, 6), lang)) AS detected, round(max(score), 2) AS score FROM r GROUP BY doc_id""")
 def detect_language(spark, sf):
     docs = fx.table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), "lang", T.normalize_ws("text").alias("content")
     )
     profiles = quality.language_profiles(docs, "lang", "id", "content")
     return quality.detect_language(docs, profiles).select(
-        F.col("id").alias("doc_id"), "detected", F.round("score", 4).alias("score")
+        F.col("id").alias("doc_id"), "detected", F.round("score", 2).alias("score")
     )
 
 
