@@ -14,6 +14,7 @@ def read_file_stream(spark: SparkSession, folder: str) -> DataFrame:
     """New files below ``folder`` as (path, content)."""
     return (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("recursiveFileLookup", "true")
         .load(folder)
         .select("path", "content")
