@@ -64,7 +64,7 @@ def with_group_carry(
 ) -> DataFrame:
     """Add, per key, the running minimum before a row or the previous value.
 
-    ``kind`` is ``"min"`` or ``"last"``. A key that holds most rows is spread over
+    ``kind`` is ``"min"``, ``"last"`` or ``"count"`` (rows before this one). A key that holds most rows is spread over
     many chunks; what crosses a chunk border is one row per (key, chunk).
     """
     placed = place_in_order(df, F.col(key), F.col(order), F.col(tie))
@@ -79,13 +79,22 @@ def with_group_carry(
         inside = F.lag(value).over(local)
         ends = placed.groupBy(key, "_chunk").agg(F.max_by(value, "_at").alias("_end"))
         carried = F.lag("_end").over(chunks)
+    elif kind == "count":
+        inside = F.row_number().over(local) - 1
+        ends = placed.groupBy(key, "_chunk").agg(F.count("*").alias("_end"))
+        carried = F.coalesce(
+            F.sum("_end").over(chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        )
     else:
         raise ValueError(f"unknown kind {kind!r}")
     edges = ends.select(key, "_chunk", carried.alias("_carried"))
     # least() skips nulls; for "last" the carried value only serves a chunk's first row
-    combine = F.least if kind == "min" else F.coalesce
+    inner, outer = F.col("_inside"), F.col("_carried")
+    combined = {
+        "min": F.least(inner, outer), "last": F.coalesce(inner, outer), "count": inner + outer,
+    }[kind]
     return (
         placed.withColumn("_inside", inside)
         .join(edges, [key, "_chunk"], "left")
-        .select(*df.columns, combine(F.col("_inside"), F.col("_carried")).alias(name))
+        .select(*df.columns, combined.alias(name))
     )

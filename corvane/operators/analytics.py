@@ -191,7 +191,7 @@ def risk_matrix(risks: DataFrame, likelihood: str = "likelihood", impact: str =
     ranks = levels.withColumn(
         "rank", F.row_number().over(Window.orderBy(F.col("score").desc()))
     )
-    return scored.join(F.broadcast(ranks), "score")
+    return scored.join(ranks, "score")
 
 
 def mean_time(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corvane.functions import text as T
 from corvane.functions.lexicons import KB_TYPES
 from corvane.functions.staging import stage
+from corvane.operators.ngrams import char_grams
 
 HEAD_CHARS = 1000  # features look at the first 1,000 characters
 
@@ -221,39 +222,32 @@ def apply_tagger(model, df: DataFrame, content: str = "content") -> DataFrame:
     return scored.select(*df.columns, vector_to_array("_probability")[1].alias("score"))
 
 
-def char_trigrams(df: DataFrame, id_col: str, content: str, *keep: str) -> DataFrame:
-    """(id, gram) rows for the head of the text.
-
-    Text is split into characters once; indexing the array is cheaper than repeated
-    ``substr`` on UTF-8 strings.
-    """
-    chars = F.split(F.substring(F.col(content), 1, HEAD_CHARS), "")
-    split = stage(df.select(F.col(id_col).alias("id"), *keep, content), _c=chars)
-    return split.filter(F.size("_c") >= 3).select(
-        "id", *keep, F.explode(char_windows(F.col("_c"), 3)).alias("gram")
-    )
-
-
-def char_windows(chars: Column, n: int) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), F.size(chars) - (n - 1)),
-        lambda i: F.array_join(F.slice(chars, i, n), ""),
+def _head_grams(df: DataFrame, id_col: str, content: str) -> DataFrame:
+    """(id, gram): character trigrams of the head of the text."""
+    heads = df.select(
+        F.col(id_col).alias("id"), F.substring(F.col(content), 1, HEAD_CHARS).alias("_head")
     )
+    return char_grams(heads, 2, "_head", "id")
 
 
 def language_profiles(df: DataFrame, lang: str, id_col: str, content: str) -> DataFrame:
-    """(lang, gram, logp, logp_missing, docs): add-one smoothed trigram model."""
-    counts = char_trigrams(df, id_col, content, lang).groupBy(lang, "gram").agg(
+    """(gram, gains): add-one smoothed trigram models, one row per trigram.
+
+    ``gains`` holds (lang, gain, missing) per language, where ``gain`` is what the trigram
+    adds to the log probability compared with an unseen one.
+    """
+    heads = df.select(
+        F.col(lang).alias("lang"), F.substring(F.col(content), 1, HEAD_CHARS).alias("_head")
+    )
+    counts = char_grams(heads, 2, "_head", "lang").groupBy("lang", "gram").agg(
         F.count("*").alias("n")
     )
-    totals = counts.groupBy(lang).agg(F.sum("n").alias("total"))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     vocab = counts.agg(F.countDistinct("gram").alias("v")).select("v").scalar()
-    scale = F.col("total") + vocab
-    return counts.join(totals, lang).select(
-        F.col(lang).alias("lang"), "gram",
-        F.log((F.col("n") + 1) / scale).alias("logp"),
-        F.log(1 / scale).alias("logp_missing"),
-    )
+    missing = F.log(1 / (F.col("total") + vocab))
+    gain = F.log((F.col("n") + 1) / (F.col("total") + vocab)) - missing
+    entry = F.struct("lang", gain.alias("gain"), missing.alias("missing"))
+    return counts.join(totals, "lang").groupBy("gram").agg(F.collect_list(entry).alias("gains"))
 
 
 def detect_language(
@@ -261,20 +255,21 @@ def detect_language(
 ) -> DataFrame:
     """Most likely language per text: (id, detected, score).
 
-    Log probability = matched part + number of trigrams times the missing-gram value;
-    the language table is tiny (one row per language).
+    Log probability = gains of the known trigrams plus the number of trigrams times the
+    value of an unseen one. A text meets each of its trigrams once in the join and is
+    summed per language on the map side.
     """
-    grams = char_trigrams(df, id_col, content)
-    sizes = grams.groupBy("id").agg(F.count("*").alias("n_grams"))
     matched = (
-        grams.join(profiles, "gram")
+        _head_grams(df, id_col, content)
+        .join(profiles, "gram")
+        .select("id", F.inline("gains"))
         .groupBy("id", "lang")
-        .agg(F.sum(F.col("logp") - F.col("logp_missing")).alias("gain"))
+        .agg(F.sum("gain").alias("gain"), F.max("missing").alias("missing"))
     )
-    missing = profiles.groupBy("lang").agg(F.max("logp_missing").alias("logp_missing"))
-    scored = (
-        matched.join(sizes, "id").join(missing, "lang")
-        .withColumn("score", F.col("gain") + F.col("n_grams") * F.col("logp_missing"))
+    head = F.least(F.length(content), F.lit(HEAD_CHARS))
+    sizes = df.select(F.col(id_col).alias("id"), F.greatest(head - 2, F.lit(0)).alias("n_grams"))
+    scored = matched.join(sizes, "id").select(
+        "id", "lang", (F.col("gain") + F.col("n_grams") * F.col("missing")).alias("score")
     )
     return scored.groupBy("id").agg(
         F.max_by("lang", F.struct(F.round("score", 6), "lang")).alias("detected"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corvane.functions import text as T
 from corvane.session import cut
@@ -20,7 +20,7 @@ def sentences_of(
     )
 
 
-def sentence_id() -> F.Column:
+def sentence_id() -> Column:
     return F.format_string("%s-%06d", F.col("entry_id").cast("string"), F.col("pos"))
 
 
@@ -53,10 +53,13 @@ def expand_synonyms(
 def bm25_scores(
     queries: DataFrame, corpus: DataFrame, query_id: str, doc_id: str,
     query_tokens: str = "q_tokens", doc_tokens: str = "tokens",
-    k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25,
+    k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25, pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Okapi scores of every (query, text) pair that shares a token.
 
+    With ``pairs(query_id, doc_id)`` only those pairs are scored: statistics still span
+    the whole corpus, but no other text gives postings.
+
     Only postings of query tokens are shuffled. Frequencies are counted on the map side,
     since a text's tokens sit in one task. A token of negative idf gets ``epsilon`` times
     the mean idf of the whole vocabulary.
@@ -87,8 +90,12 @@ def bm25_scores(
     )
     weighted = terms.join(idf, "token")
     wanted = terms.select("token").distinct()
+    scored = sized
+    if pairs is not None:
+        pairs = pairs.select("query_id", "doc_id")
+        scored = sized.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
     freq = (
-        sized.select("doc_id", "len", F.explode("_t").alias("token"))
+        scored.select("doc_id", "len", F.explode("_t").alias("token"))
         .join(wanted, "token", "left_semi")
         .groupBy("doc_id", "len", "token")
         .agg(F.count("*").alias("tf"))
@@ -97,11 +104,10 @@ def bm25_scores(
         F.col("qtf") * F.col("idf") * F.col("tf") * F.lit(k1 + 1)
         / (F.col("tf") + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("len") / avg_len))
     )
-    return (
-        freq.join(weighted, "token")
-        .groupBy("query_id", "doc_id")
-        .agg(F.sum(gain).alias("score"))
-    )
+    postings = freq.join(weighted, "token")
+    if pairs is not None:
+        postings = postings.join(pairs, ["query_id", "doc_id"], "left_semi")
+    return postings.groupBy("query_id", "doc_id").agg(F.sum(gain).alias("score"))
 
 
 def top_per_query(scores: DataFrame, k: int, digits: int = 9) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corvane.functions.ordering import with_group_carry
+
 MAX_HEADER = 25
 
 
@@ -24,7 +26,7 @@ def sheet_header(
     """
     filled = df.withColumn("_filled", filled_cells(cells)).filter(F.col("_filled") > 0)
     order = Window.partitionBy(sheet).orderBy(row_idx)
-    numbered = filled.withColumn("row_no", F.row_number().over(order) - 1)
+    numbered = with_group_carry(filled, sheet, row_idx, row_idx, row_idx, "count", "row_no")
     head = (
         filled.select(sheet, row_idx, "_filled")
         .withColumn("_no", F.row_number().over(order))

@@ -31,6 +31,9 @@ O.define(
 )
 
 
+O.define("wide_vec", O.embed("wide_vec", "doc_tok", "id", "tokens", 1 << 20), "doc_vec")
+
+
 @query("d10_embed_text", """
 SELECT id, bucket, round(w, 6) AS weight FROM doc_vec""", "doc_vec")
 def embed(spark, sf):
@@ -63,9 +66,9 @@ def kb_join(spark, sf):
 
 
 @query("e3_near_duplicates", """
-WITH s AS (SELECT a.id, round(sum(a.w * b.w), 9) AS sim FROM doc_vec a JOIN doc_vec b USING (bucket)
+WITH s AS (SELECT a.id, round(sum(a.w * b.w), 9) AS sim FROM wide_vec a JOIN wide_vec b USING (bucket)
   WHERE a.id <> b.id AND b.id IN (SELECT id FROM entries WHERE validated) GROUP BY a.id, b.id)
-SELECT id, round(max(sim), 6) AS max_sim FROM s GROUP BY id HAVING max(sim) > 0.9""", "doc_vec", "entries")
+SELECT id, round(max(sim), 6) AS max_sim FROM s GROUP BY id HAVING max(sim) > 0.9""", "wide_vec", "entries")
 def find_near_duplicates(spark, sf):
     entries = fx.entries(spark, sf).select("id", "content", "validated")
     found = near_duplicates(entries, entries.filter("validated"), fx.tokens_of)
@@ -224,8 +227,8 @@ O.define("best", BEST, "hybrid", "candidates")
 
 def _hybrid(spark, sf):
     queries, corpus = _queries_and_corpus(spark, sf)
-    near = answer.vector_hits(queries, corpus, 5)
-    lexical = retrieval.bm25_scores(queries, corpus, "query_id", "doc_id")
+    near = cut(answer.vector_hits(queries, corpus, 5))
+    lexical = retrieval.bm25_scores(queries, corpus, "query_id", "doc_id", pairs=near)
     return retrieval.hybrid_score(near, lexical), corpus
 
 

@@ -86,11 +86,11 @@ def update_entries(spark, sf):
 O.define(
     "fresh_vec",
     "fresh_tok AS (SELECT id, " + O.content_tokens("content") + " AS tokens FROM fresh),"
-    + O.embed("fresh_vec", "fresh_tok", "id", "tokens"),
+    + O.embed("fresh_vec", "fresh_tok", "id", "tokens", 1 << 20),
     "updated",
 )
 O.define("old_vec", "old_tok AS (SELECT id, " + O.content_tokens("content") + " AS tokens FROM raw_entries),"
-         + O.embed("old_vec", "old_tok", "id", "tokens"), "raw_entries")
+         + O.embed("old_vec", "old_tok", "id", "tokens", 1 << 20), "raw_entries")
 
 
 @query("h1_update_warnings", """

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from corvane.functions import arrays as A, text as T
 from corvane.functions.lexicons import EXPLAIN_WORDS, STOP_WORDS
-from corvane.functions.ordering import with_global_rank
 from corvane.operators import ngrams, quality, retrieval, store, tokens
 from corvane.plans import fixtures as fx, oracle as O
 from corvane.plans.registry import query
+from corvane.session import cut
 from corvane.sources import files
 
 
@@ -271,7 +271,7 @@ s AS (SELECT id, ln((coalesce(n, 0) + 1) / (coalesce(cn, 0) + v)::DOUBLE) AS lp
 SELECT id, count(*) AS n_chars, round(sum(lp), 4) AS log_likelihood, round(exp(-avg(lp)), 4) AS perplexity
 FROM s GROUP BY id""", "transitions")
 def markov_score(spark, sf):
-    table = ngrams.markov_train(fx.table(spark, sf, "documents"), 3)
+    table = cut(ngrams.markov_train(fx.table(spark, sf, "documents"), 3))
     turns = fx.table(spark, sf, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text"
     )

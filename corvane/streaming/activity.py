@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corvane.functions.lexicons import DEFAULT_LIMITS, RATE_LIMITS
+from corvane.functions.ordering import with_group_carry, with_running_total
 from corvane.session import scratch_path
 
 
@@ -82,7 +83,13 @@ def rate_limit_breaches(
 
 
 def collab_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Sessions per entry and user: (entry_id, user_id, start, end, events)."""
+    """Sessions per entry and user: (entry_id, user_id, start, end, events).
+
+    A stream uses session windows. A batch finds session starts in chunks of the sorted
+    events and numbers them by a running total, so one busy room is not one task.
+    """
+    if not events.isStreaming:
+        return _batch_sessions(events, gap)
     return events.groupBy(
         F.session_window("ts", gap).alias("w"), "entry_id", "user_id"
     ).agg(F.count("*").alias("events")).select(
@@ -91,6 +98,27 @@ def collab_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     )
 
 
+def _batch_sessions(events: DataFrame, gap: str) -> DataFrame:
+    width = F.expr(f"INTERVAL {gap}")
+    rows = events.select(
+        F.struct("entry_id", "user_id").alias("room"), "ts", F.xxhash64(*events.columns).alias("tie")
+    )
+    seen = with_group_carry(rows, "room", "ts", "tie", "ts", "last", "previous")
+    new = F.col("previous").isNull() | (F.col("ts") >= F.col("previous") + width)
+    starts = seen.withColumn("new", new.cast("bigint"))
+    numbered = with_running_total(
+        starts, "new", F.col("room"), F.col("ts"), F.col("tie"), name="before"
+    )
+    return (
+        numbered.groupBy("room", (F.col("before") + F.col("new")).alias("session"))
+        .agg(F.min("ts").alias("session_start"), F.max("ts").alias("last"), F.count("*").alias("events"))
+        .select(
+            "room.entry_id", "room.user_id", "session_start",
+            (F.col("last") + width).alias("session_end"), "events",
+        )
+    )
+
+
 def latest_progress(events: DataFrame, key: str, *message: str, tie: str = "event_id") -> DataFrame:
     """The last message per key, by time and then by ``tie``."""
     last = F.max_by(F.struct("ts", *message), F.struct("ts", tie)).alias("m")
