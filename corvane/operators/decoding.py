@@ -7,26 +7,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SEQ = Window.partitionBy("seq_id")
+def _seq():
+    return Window.partitionBy("seq_id")
 
 
 def softmax(logit: Column | str = "logit", temperature: float = 1.0) -> Column:
     """Probability within the sequence, shifted by the maximum before exponentiation."""
     scaled = (F.col(logit) if isinstance(logit, str) else logit) / F.lit(float(temperature))
-    top = F.max(scaled).over(SEQ)
+    top = F.max(scaled).over(_seq())
     weight = F.exp(scaled - top)
-    return weight / F.sum(weight).over(SEQ)
+    return weight / F.sum(weight).over(_seq())
 
 
 def softmax_temperature(logits: DataFrame, temperature: float = 1.0) -> DataFrame:
     scaled = logits.withColumn("_x", F.col("logit") / F.lit(float(temperature)))
-    shifted = scaled.withColumn("_w", F.exp(F.col("_x") - F.max("_x").over(SEQ)))
-    return shifted.withColumn("prob", F.col("_w") / F.sum("_w").over(SEQ)).drop("_x", "_w")
+    shifted = scaled.withColumn("_w", F.exp(F.col("_x") - F.max("_x").over(_seq())))
+    return shifted.withColumn("prob", F.col("_w") / F.sum("_w").over(_seq())).drop("_x", "_w")
 
 
 def topk_filter(logits: DataFrame, k: int) -> DataFrame:
     """Tokens whose logit is at least the k-th largest; ties are kept."""
-    order = SEQ.orderBy(F.col("logit").desc())
+    order = _seq().orderBy(F.col("logit").desc())
     return logits.withColumn("_r", F.rank().over(order)).filter(F.col("_r") <= k).drop("_r")
 
 
@@ -38,7 +39,7 @@ def nucleus_filter(logits: DataFrame, p: float, mode: str = "crossing") -> DataF
     """
     if mode not in ("crossing", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
-    order = SEQ.orderBy(F.col("prob").desc(), F.col("token_id"))
+    order = _seq().orderBy(F.col("prob").desc(), F.col("token_id"))
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scored = softmax_temperature(logits).withColumn("cum", F.round(F.sum("prob").over(upto), 12))
     if mode == "strict":

@@ -284,14 +284,14 @@ def markov_score(spark, sf):
 def _bpe_sql(rounds: int) -> str:
     parts = [r"""w AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text,
   '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+')) AS word FROM documents) GROUP BY word),
-s0 AS (SELECT regexp_replace(replace(word, '|', chr(2)), '(.)', '|\1|', 'g') AS sym, n FROM w)"""]
+s0 AS (SELECT regexp_replace(word, '(.)', ' \1 ', 'g') AS sym, n FROM w)"""]
     for i in range(rounds):
-        parts.append(f"""l{i} AS (SELECT string_split(substr(sym, 2, length(sym) - 2), '||') AS p, n FROM s{i}),
+        parts.append(f"""l{i} AS (SELECT string_split(substr(sym, 2, length(sym) - 2), '  ') AS p, n FROM s{i}),
 p{i} AS (SELECT unnest(p[:len(p) - 1]) AS a, unnest(p[2:]) AS b, n FROM l{i} WHERE len(p) > 1),
 b{i} AS (SELECT a, b, sum(n)::BIGINT AS freq FROM p{i} GROUP BY a, b ORDER BY freq DESC, a, b LIMIT 1),
-s{i + 1} AS MATERIALIZED (SELECT replace(sym, '|' || a || '||' || b || '|', '|' || a || b || '|') AS sym, n FROM s{i}, b{i})""")
+s{i + 1} AS MATERIALIZED (SELECT replace(sym, ' ' || a || '  ' || b || ' ', ' ' || a || b || ' ') AS sym, n FROM s{i}, b{i})""")
     union = " UNION ALL ".join(
-        f"SELECT {i + 1}::BIGINT AS rank, replace(a, chr(2), '|') AS left_part, replace(b, chr(2), '|') AS right_part, freq FROM b{i}"
+        f"SELECT {i + 1}::BIGINT AS rank, a AS left_part, b AS right_part, freq FROM b{i}"
         for i in range(rounds)
     )
     return "WITH " + ",\n".join(parts) + "\n" + union

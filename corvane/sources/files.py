@@ -153,13 +153,17 @@ def corpus_load(
     return rows.withColumn("text", clean).filter(F.length("text") >= least)
 
 
-def ingest_csv(spark: SparkSession, path: str, with_text: bool = True) -> DataFrame:
+def ingest_csv(
+    spark: SparkSession, path: str, with_text: bool = True, multi_line: bool = True
+) -> DataFrame:
     """One row per CSV file: (path, rows, columns[, text]).
 
-    Records are counted by the CSV reader with partial aggregates, so a large file is
-    split over tasks. The text is the file as it is.
+    Records are counted by the CSV reader. Line breaks inside quotes need ``multi_line``,
+    which reads a file in one task; without such cells pass False and large files are
+    split. The text is the file as it is.
     """
-    table = spark.read.option("header", "true").option("recursiveFileLookup", "true").csv(path)
+    reader = spark.read.option("header", "true").option("recursiveFileLookup", "true")
+    table = reader.option("multiLine", str(multi_line).lower()).csv(path)
     columns = len(table.columns)
     counts = (
         table.select(F.col("_metadata.file_path").alias("path"))
