@@ -7,28 +7,32 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as ST
 
 from corvane.operators.similarity import (
-    BLOCK_ROWS, DIGITS, _keyed, _matrix, in_block_grid, top_matches,
+    BLOCK_ROWS, DIGITS, SLICE_ROWS, _keyed, _matrix, in_block_grid, top_matches,
 )
 from corvane.session import cut
 
 
-def _forest(pairs: np.ndarray, nodes: int) -> list[int]:
-    """Indices of the pairs that join two so far separate groups."""
-    parent = list(range(nodes))
+def _joining_edges(
+    left: np.ndarray, right: np.ndarray, left_nodes: np.ndarray, right_nodes: np.ndarray,
+    nodes: int, threshold: float,
+) -> list[tuple[int, int]]:
+    """A spanning forest of the matches between two blocks of vectors.
 
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    used = []
-    for at, (a, b) in enumerate(pairs):
-        ra, rb = root(int(a)), root(int(b))
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-            used.append(at)
-    return used
+    Nodes carry the label of their group so far; a row adds one edge per group it joins.
+    """
+    label = np.arange(nodes)
+    edges: list[tuple[int, int]] = []
+    for at in range(0, len(left), SLICE_ROWS):
+        sims = np.round(left[at:at + SLICE_ROWS] @ right.T, DIGITS)
+        for row in np.flatnonzero((sims >= threshold).any(axis=1)):
+            me = left_nodes[at + row]
+            hits = right_nodes[sims[row] >= threshold]
+            groups, first = np.unique(label[hits], return_index=True)
+            for group, where in zip(groups, first):
+                if group != label[me]:
+                    edges.append((me, hits[where]))
+                    label[label == group] = label[me]
+    return edges
 
 
 def similarity_edges(
@@ -50,16 +54,11 @@ def similarity_edges(
         ids = pd.unique(pd.concat([left["id"], right["id"]], ignore_index=True))
         at = pd.Index(ids)
         la, rb = at.get_indexer(left["id"]), at.get_indexer(right["id"])
-        sims = np.round(
-            _matrix(left["indices"], left["values"], dim)
-            @ _matrix(right["indices"], right["values"], dim).T,
-            DIGITS,
+        edges = _joining_edges(
+            _matrix(left["indices"], left["values"], dim),
+            _matrix(right["indices"], right["values"], dim), la, rb, len(ids), threshold,
         )
-        x, y = np.nonzero(sims >= threshold)
-        pairs = np.column_stack([la[x], rb[y]])
-        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        used = _forest(pairs, len(ids))
-        return pd.DataFrame({"a": ids[pairs[used, 0]], "b": ids[pairs[used, 1]]})
+        return pd.DataFrame({"a": [ids[x] for x, _ in edges], "b": [ids[y] for _, y in edges]})
 
     return in_block_grid(rows, rows, block_rows).applyInPandas(meet, schema)
 
