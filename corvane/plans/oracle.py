@@ -228,7 +228,7 @@ semantic AS (SELECT * FROM (SELECT *, row_number() OVER
   (PARTITION BY query_id ORDER BY sim DESC, doc_id) AS rank FROM semantic_s) WHERE rank <= 5)""",
     "question_vec", "sentence_vec",
 )
-define("logits", """logits AS (SELECT vec_id AS seq_id, unnest(range(len(embedding))) AS token_id,
+define("logits", """logits AS (SELECT vec_id AS seq_id, unnest(range(len(embedding)))::INT AS token_id,
   unnest(embedding)::DOUBLE * 10 AS logit FROM embeddings)""")
 define(
     "vocab",

@@ -319,10 +319,12 @@ def corpus_load_v2(spark, sf):
     turns = fx.table(spark, sf, "conversations").filter(F.trim("text") != "")
     folder = _text_folder(spark, sf)
     turns.select("role", "text").write.mode("append").partitionBy("role").json(folder)
-    loaded = files.corpus_load(
-        spark, folder, turns.select("text"), mode="v2",
+    # how Spark splits the texts into files is not fixed, so short files are kept here
+    from_files = files.corpus_load(
+        spark, folder, mode="v2", min_len=1,
         patterns={"txt": "*.txt", "md": "*.md", "jsonl": "*.json"},
     )
+    loaded = from_files.unionByName(files.corpus_load(spark, texts=turns, mode="v2"))
     return loaded.groupBy("suffix").agg(F.sum(F.length("text") + 1).cast("bigint").alias("chars"))
 
 

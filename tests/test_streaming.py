@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from corvane.session import checkpoint_root
 from corvane.streaming import activity as S, ingest
 
 
@@ -94,6 +93,10 @@ def test_file_stream(spark, tmp_path):
     assert spark.read.parquet(f"{base}/history").count() == 3
 
 
-def test_checkpoint_folder_comes_from_the_session(spark):
-    before = checkpoint_root(spark)
-    assert checkpoint_root(spark) == before
+def test_checkpoint_folder_is_kept(spark):
+    from corvane.session import checkpoint_root, scratch_path
+
+    root = checkpoint_root(spark)
+    assert checkpoint_root(spark) == root
+    assert scratch_path(spark, "x").startswith(root)
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
