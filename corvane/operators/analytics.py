@@ -122,7 +122,7 @@ def running_best(log: DataFrame, run: str, step: str, loss: str) -> DataFrame:
     )
 
 
-# --- calculations that the reference only describes in prose -------------------------
+# --- small decision tables -------------------------------------------------------------
 
 
 def decision_score(
