@@ -191,7 +191,7 @@ def train_toxicity(
     """Fit on at most ``sample`` labelled rows outside the held-out fifth, chosen by id hash.
 
     Word statistics are gathered by Spark: in how many toxic and clean sampled documents a word
-    occurs (documents that share their rarest-hashed long word count once, so copies don't vote
+    occurs (documents that share the four long words lowest by hash count once, so copies rarely vote
     twice). Words whose toxicity is significant against the number of words tried are the toxic
     examples; words of clean documents, drawn by hash, the others. Examples from both sides are
     the Nyström landmarks. A logistic curve turns the highest margin of a document into a score.
@@ -211,8 +211,8 @@ def train_toxicity(
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 found = {NOT_LETTER.sub("", w) for w in tokens(text)}
                 found = {w for w in found if 3 <= len(w) <= WINDOW}
-                long = [hash_word(w) for w in found if len(w) >= 7]
-                out.append((min(long, default=hash_word(text)), int(toxic), list(found)))
+                long = sorted(hash_word(w) for w in found if len(w) >= 7)[:4]
+                out.append((hash_word(repr(long) if len(long) == 4 else text), int(toxic), list(found)))
             yield pd.DataFrame(out, columns=["kin", "toxic", "words"])
 
     seen = (
