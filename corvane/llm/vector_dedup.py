@@ -13,7 +13,7 @@ from corvane.llm.common import components, written
 THRESHOLD = 0.93
 CELLS = 16
 SAMPLE = 4096
-BLOCK = 1024
+BLOCK = 4096
 
 
 def spherical_kmeans(vectors: np.ndarray, cells: int, rounds: int = 12) -> np.ndarray:
@@ -109,10 +109,11 @@ def near_vectors(
         comes = [set(v.tolist()) for v in part["visits"]]
         links, group, edges = np.zeros(len(part), np.int64), np.arange(len(part)), []
         for at in range(0, len(part), 512):
-            hits = matrix[at:at + 512] @ matrix.T >= threshold
-            for row, hit in enumerate(hits, at):
-                hit = hit & (resident | resident[row])
-                hit[row:] = False
+            hits = np.tril(matrix[at:at + 512] @ matrix[:at + 512].T >= threshold, at - 1)
+            for row in np.flatnonzero(hits.any(axis=1)) + at:
+                hit = np.zeros(len(part), bool)
+                hit[:hits.shape[1]] = hits[row - at]
+                hit &= resident | resident[row]
                 if across:
                     hit &= block != block[row]
                 for other in np.flatnonzero(hit & (home != home[row])):
