@@ -59,7 +59,7 @@ class Merger:
         if known is None:
             a, b = self.text[left], self.text[right]
             known = self.merge([*self.units(a), *self.units(b)]) == [a, b]
-            if len(self._pairs) >= 1 << 20:
+            if len(self._pairs) >= 1 << 18:
                 self._pairs.clear()
             self._pairs[left, right] = known
         return known
@@ -78,7 +78,7 @@ class Transducer:
     no token holds gives no token (None), counts one and leads back to the start.
     """
 
-    LIMIT = 1 << 19
+    LIMIT = 1 << 18
     JUMP = 5  # the state behind the first units is looked up at once
 
     def __init__(self, merger: Merger, empty: bytes | str = b""):
@@ -124,7 +124,7 @@ class Transducer:
         head = text[:self.JUMP]
         state, total = self.jumps.get(head) or self._run(0, 0, head)
         if len(head) == self.JUMP:
-            if len(self.jumps) < self.LIMIT:
+            if len(self.jumps) < 1 << 17:
                 self.jumps[head] = state, total
             total = self._run(state, total, text[self.JUMP:])[1]
         return total

@@ -22,7 +22,7 @@ CHECK_EVERY = 32
 class Pieces(dict):
     """A model's pieces; as a dict, ids of the segments met before (bounded)."""
 
-    LIMIT = 600_000
+    LIMIT = 250_000
 
     def __init__(self, path: str):
         import sentencepiece

@@ -35,7 +35,7 @@ def byte_letters() -> dict[str, int]:
 class Counter(dict):
     """Counts per pre-token, filled by the transducer when a pre-token is new."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -77,7 +77,7 @@ class Counter(dict):
 class Spaced(dict):
     """Counts of a space and the text up to the next one."""
 
-    LIMIT = 600_000
+    LIMIT = 500_000
 
     def __init__(self, owner: Counter):
         self.owner = owner
