@@ -243,7 +243,8 @@ def train_toxicity(
 
         def rate_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                yield pd.DataFrame({"word": batch["word"], "margin": machine.margins(batch["word"].tolist())})
+                words = batch["word"].tolist()
+                yield pd.DataFrame({"word": words, "margin": machine.margins(words)})
 
         hard = others.select("word").mapInPandas(rate_words, "word string, margin double")
         clean |= {r["word"] for r in hard.filter("margin > -0.8").orderBy(F.desc("margin"), "word")

@@ -138,7 +138,10 @@ def judge_urls(
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo: dict[str, list[str]] = {}
         for batch in batches:
-            yield batch.assign(tokens=[url_tokens(h, p, words, memo) for h, p in zip(batch["host"], batch["path"])])
+            hosts, paths = batch["host"].tolist(), batch["path"].tolist()
+            yield pd.DataFrame({
+                "host": hosts, "path": paths, "n": batch["n"], "verdict": batch["verdict"].tolist(),
+                "tokens": [url_tokens(h, p, words, memo) for h, p in zip(hosts, paths)]})
 
     tokens = cut(distinct.select("host", "path", "n", "ruled.verdict").mapInPandas(
         split, "host string, path string, n bigint, verdict string, tokens array<string>"))
