@@ -12,7 +12,6 @@ from corvane.functions.lexicons import KB_TYPES
 from corvane.functions.staging import stage
 from corvane.operators.ngrams import char_grams
 
-HEAD_CHARS = 1000  # features look at the first 1,000 characters
 
 
 def gazetteer_hits(tokens: Column, names: Sequence[str]) -> Column:
@@ -38,7 +37,7 @@ def text_features(
     An entity is a listed name or a capitalised run inside a sentence. A model's counts
     can replace these three columns; ``validate`` only reads them.
     """
-    head = F.substring(F.col(content), 1, HEAD_CHARS)
+    head = F.col(content)
     stops = list(stop_words)
     tokens = F.col("_tokens")
     read = stage(stage(df, _head=head), _tokens=T.letter_tokens("_head"))
@@ -123,7 +122,7 @@ def validate(
 
 def entity_mentions(
     df: DataFrame, kb: DataFrame, id_col: str = "id", content: str = "content",
-    head_chars: int | None = HEAD_CHARS,
+    head_chars: int | None = None,
 ) -> DataFrame:
     """One row per mention: (id, pos, text, text_lc, label).
 
@@ -186,7 +185,7 @@ def tag_documents(
 
     ``keywords(tag, token, weight)`` stands in for a zero-shot classifier.
     """
-    head = F.substring(F.col(content), 1, HEAD_CHARS)
+    head = F.col(content)
     hits = (
         df.select(F.col(id_col).alias("id"), F.explode(T.letter_tokens(head)).alias("token"))
         .join(keywords, "token")
@@ -225,7 +224,7 @@ def apply_tagger(model, df: DataFrame, content: str = "content") -> DataFrame:
 def _head_grams(df: DataFrame, id_col: str, content: str) -> DataFrame:
     """(id, gram): character trigrams of the head of the text."""
     heads = df.select(
-        F.col(id_col).alias("id"), F.substring(F.col(content), 1, HEAD_CHARS).alias("_head")
+        F.col(id_col).alias("id"), F.col(content).alias("_head")
     )
     return char_grams(heads, 2, "_head", "id")
 
@@ -237,7 +236,7 @@ def language_profiles(df: DataFrame, lang: str, id_col: str, content: str) -> Da
     adds to the log probability compared with an unseen one.
     """
     heads = df.select(
-        F.col(lang).alias("lang"), F.substring(F.col(content), 1, HEAD_CHARS).alias("_head")
+        F.col(lang).alias("lang"), F.col(content).alias("_head")
     )
     counts = char_grams(heads, 2, "_head", "lang").groupBy("lang", "gram").agg(
         F.count("*").alias("n")
@@ -266,7 +265,7 @@ def detect_language(
         .groupBy("id", "lang")
         .agg(F.sum("gain").alias("gain"), F.max("missing").alias("missing"))
     )
-    head = F.least(F.length(content), F.lit(HEAD_CHARS))
+    head = F.length(content)
     sizes = df.select(F.col(id_col).alias("id"), F.greatest(head - 2, F.lit(0)).alias("n_grams"))
     scored = matched.join(sizes, "id").select(
         "id", "lang", (F.col("gain") + F.col("n_grams") * F.col("missing")).alias("score")

@@ -49,7 +49,7 @@ def sentiment_polarity(spark, sf):
     return fx.entries(spark, sf).select("id", (F.round("polarity", 6) + 0.0).alias("polarity"))
 
 
-MENTIONS = f"""mentions_t AS (SELECT id, {O.letters('substr(content, 1, 1000)')} AS t, substr(content, 1, 1000) AS head FROM raw_entries),
+MENTIONS = f"""mentions_t AS (SELECT id, {O.letters('content')} AS t, content AS head FROM raw_entries),
 mentions_g AS ({" UNION ALL ".join(f"SELECT id, unnest(range(len({O.grams('t', n)}))) AS pos, unnest({O.grams('t', n)}) AS text_lc FROM mentions_t" for n in (1, 2, 3))}),
 mentions_c AS (SELECT id, regexp_extract_all(head, '{T.CAPITAL_RUN}', 1) AS r FROM mentions_t),
 mentions AS (SELECT id, pos, text_lc AS text, text_lc, type AS label FROM mentions_g JOIN kb USING (text_lc)
@@ -76,7 +76,7 @@ def type_in_list(spark, sf):
 
 @query("d6_tag_documents", f"""
 WITH k AS (SELECT * FROM {O.values(fx.TAG_KEYWORDS)} k(tag, token, weight)),
-t AS (SELECT id, unnest({O.letters('substr(content, 1, 1000)')}) AS token FROM raw_entries),
+t AS (SELECT id, unnest({O.letters('content')}) AS token FROM raw_entries),
 s AS (SELECT id, tag, sum(weight) - 3 AS total FROM t JOIN k USING (token) GROUP BY ALL)
 SELECT id, tag, round(1 / (1 + exp(-total)), 6) AS score FROM s WHERE 1 / (1 + exp(-total)) > 0.5""", "raw_entries")
 def tag_documents(spark, sf):

@@ -86,7 +86,7 @@ def validated(name: str, source: str) -> str:
         for regex, error in fx.RULES
     )
     return rf"""
-{name}_a AS (SELECT *, substr(content, 1, 1000) AS head FROM {source}),
+{name}_a AS (SELECT *, content AS head FROM {source}),
 {name}_b AS (SELECT *, {letters('head')} AS toks FROM {name}_a),
 {name}_c AS (SELECT *,
   {hits} + len(regexp_extract_all(head, '{T.CAPITAL_RUN}')) AS n_entities,

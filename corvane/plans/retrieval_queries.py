@@ -135,7 +135,7 @@ def entry_lookup(spark, sf):
 
 @query("d11_enrich_metadata", f"""
 WITH k AS (SELECT * FROM {O.values(fx.TAG_KEYWORDS)} k(tag, token, weight)),
-t AS (SELECT id, unnest({O.letters('substr(content, 1, 1000)')}) AS token FROM raw_entries),
+t AS (SELECT id, unnest({O.letters('content')}) AS token FROM raw_entries),
 g AS (SELECT id, tag, sum(weight) - 3 AS total FROM t JOIN k USING (token) GROUP BY ALL),
 tags AS (SELECT id, string_agg(tag, ',' ORDER BY tag) AS tags FROM g WHERE total > 0 GROUP BY id),
 s AS (SELECT a.id, b.id AS other, round(sum(a.w * b.w), 9) AS sim FROM doc_vec a JOIN doc_vec b USING (bucket)
@@ -245,17 +245,21 @@ def best_per_entry(spark, sf):
     return retrieval.best_per_entry(hits).withColumn("base_score", F.round("base_score", 6))
 
 
-ANSWERS = f"""hit_t AS (SELECT DISTINCT doc_id, sentence, {O.letters('sentence')} AS t FROM best),
+ANSWERS = f"""hit_t AS (SELECT DISTINCT doc_id, sentence, {O.letters('sentence')} AS t FROM hybrid JOIN candidates USING (doc_id)),
 hit_m AS (SELECT doc_id, text_lc FROM ({" UNION ALL ".join(f"SELECT doc_id, unnest({O.grams('t', n)}) AS text_lc FROM hit_t" for n in (1, 2, 3))}) JOIN kb USING (text_lc)
   UNION ALL SELECT doc_id, lower(unnest(regexp_extract_all(sentence, '{T.CAPITAL_RUN}', 1))) FROM hit_t),
 boost AS (SELECT doc_id, count(*) AS n_entities, count(kb.text_lc) * 0.1::DOUBLE AS kb_boost
   FROM hit_m LEFT JOIN kb USING (text_lc) GROUP BY doc_id),
-usable AS (SELECT b.*, intent, coalesce(n_entities, 0) AS n_entities, base_score + coalesce(kb_boost, 0) AS boosted_score
-  FROM best b JOIN questions q ON q.qid = b.query_id LEFT JOIN boost USING (doc_id)),
+usable AS (SELECT * FROM (SELECT h.query_id, h.doc_id, c.entry_id, c.sentence, base_score, intent,
+    coalesce(n_entities, 0) AS n_entities, base_score + coalesce(kb_boost, 0) AS boosted_score,
+    row_number() OVER (PARTITION BY h.query_id, c.entry_id ORDER BY round(base_score, 9) DESC, h.doc_id) AS r
+  FROM hybrid h JOIN candidates c ON c.doc_id = h.doc_id JOIN questions q ON q.qid = h.query_id
+  LEFT JOIN boost ON boost.doc_id = h.doc_id
+  WHERE intent NOT IN ('factoid', 'comparison') OR coalesce(n_entities, 0) > 0) WHERE r = 1),
 answers AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(base_score, 9) DESC, doc_id) AS answer_rank
   FROM usable WHERE intent NOT IN ('factoid', 'comparison') OR n_entities > 0)
   WHERE answer_rank <= CASE WHEN intent IN ('list', 'explanation') THEN 5 ELSE 1 END)"""
-O.define("answers", ANSWERS, "best", "questions", "kb")
+O.define("answers", ANSWERS, "hybrid", "candidates", "questions", "kb")
 
 
 def _answers(spark, sf):

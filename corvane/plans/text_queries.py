@@ -19,7 +19,7 @@ def normalize_ws(spark, sf):
 
 
 @query("b2_detect_language", f"""
-WITH c AS (SELECT doc_id, lang, string_split(substr({O.norm('text')}, 1, 1000), '') AS c FROM documents),
+WITH c AS (SELECT doc_id, lang, string_split({O.norm('text')}, '') AS c FROM documents),
 g AS (SELECT doc_id, lang, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram
   FROM c WHERE len(c) >= 3),
 n AS (SELECT lang, gram, count(*) AS n FROM g GROUP BY ALL),
