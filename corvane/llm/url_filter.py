@@ -7,7 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corvane.llm.common import whole
@@ -51,22 +51,24 @@ def lexicon(texts: DataFrame, text_col: str, size: int = LEXICON) -> dict[str, f
     """
     word = re.compile(rb"[a-z]{2,24}").findall
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
 
-        def flush() -> pd.DataFrame:
-            out = pd.DataFrame({"word": [w.decode() for w in total], "n": list(total.values())})
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([w.decode() for w in total], pa.string()), pa.array(list(total.values()), pa.int64())],
+                names=["word", "n"])
             total.clear()
             return out
 
         for batch in batches:
-            for text in batch["text"]:
+            for text in batch.column("text").to_pylist():
                 total.update(word(text.encode("utf-8", "surrogatepass").lower()))
             if len(total) > 300_000:
                 yield flush()
         yield flush()
 
-    rows = texts.select(whole(text_col).alias("text")).mapInPandas(count, "word string, n bigint")
+    rows = texts.select(whole(text_col).alias("text")).mapInArrow(count, "word string, n bigint")
     top = rows.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size).toPandas()
     total = math.log(top["n"].sum()) if len(top) else 0.0
     return {w: math.log(n) - total for w, n in zip(top["word"], top["n"])}
@@ -135,15 +137,15 @@ def judge_urls(
     distinct = rows.groupBy("host", "path").agg(F.count("*").alias("n")).withColumn(
         "ruled", matching_rule(F.col("host"), F.col("path"), rules))
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, list[str]] = {}
         for batch in batches:
-            hosts, paths = batch["host"].tolist(), batch["path"].tolist()
-            yield pd.DataFrame({
-                "host": hosts, "path": paths, "n": batch["n"], "verdict": batch["verdict"].tolist(),
-                "tokens": [url_tokens(h, p, words, memo) for h, p in zip(hosts, paths)]})
+            hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
+            found = [url_tokens(h, p, words, memo) for h, p in zip(hosts, paths)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found, pa.list_(pa.string()))], names=[*batch.schema.names, "tokens"])
 
-    tokens = cut(distinct.select("host", "path", "n", "ruled.verdict").mapInPandas(
+    tokens = cut(distinct.select("host", "path", "n", "ruled.verdict").mapInArrow(
         split, "host string, path string, n bigint, verdict string, tokens array<string>"))
     known = tokens.filter("verdict is not null")
     block = F.when(F.col("verdict") == "block", F.col("n")).otherwise(0)
