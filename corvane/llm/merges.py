@@ -81,8 +81,8 @@ class Transducer:
     LIMIT = 1 << 18
     JUMP = 5  # the state behind the first units is looked up at once
 
-    def __init__(self, merger: Merger, empty: bytes | str = b""):
-        self.merger, self.empty = merger, empty
+    def __init__(self, merger: Merger, empty: bytes | str = b"", limit: int = LIMIT):
+        self.merger, self.empty, self.limit = merger, empty, limit
         self.starts = {token[:i] for token in merger.ids for i in range(len(token))}
         self.reset()
 
@@ -92,7 +92,7 @@ class Transducer:
         self.jumps: dict[bytes, tuple[int, int]] = {}
 
     def full(self) -> bool:
-        return len(self.states) > self.LIMIT
+        return len(self.states) > self.limit
 
     def compile(self, state: int, unit: int | str) -> tuple[int, int | None, int]:
         suffix, last, counts = self.states[state]

@@ -17,12 +17,14 @@ from corvane.llm.merges import START, Merger, Transducer
 MARK = "▁"  # stands for a space inside pieces
 SEGMENT = re.compile(r" *[^ ]+| +")
 CHECK_EVERY = 32
+ROWS = 512  # texts whose ids a task holds at a time
 
 
 class Pieces(dict):
     """A model's pieces; as a dict, ids of the segments met before (bounded)."""
 
-    LIMIT = 250_000
+    LIMIT = 100_000
+    STATES = 1 << 17
 
     def __init__(self, path: str):
         import sentencepiece
@@ -37,7 +39,7 @@ class Pieces(dict):
         self.byte_id = {int(model.id_to_piece(i)[3:5], 16): i for i in bytes_at}
         self.unknown = model.unk_id()
         self.merger = Merger(names, lambda a, b: ranks.get(a + b))
-        self.machine = Transducer(self.merger, "")
+        self.machine = Transducer(self.merger, "", self.STATES)
         self.sizes = {i: len(name) for name, i in names.items()}
         # a piece never holds a space behind another character, so segments don't interact
         self.split = not any(" " in name.lstrip(" ") for name in names)
@@ -136,31 +138,52 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
+def _mapped(docs: DataFrame, model: str, text_col: str, name: str, back: str | None) -> DataFrame:
+    """``docs`` with the ids of the whole texts and, for ``back``, the text of these ids."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_pieces = pieces(model)
+        for batch in _parts(batches):
+            lists = [model_pieces.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int32))
+            texts = [pa.array(map(model_pieces.decode, lists), pa.string())] if back else []
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, *texts], schema=target)
+
+    kept = docs.drop(name, *([back] if back else []))
+    more = [(name, pa.list_(pa.int32())), *([(back, pa.string())] if back else [])]
+    target = pa.schema([*[(f.name, to_arrow_type(f.dataType)) for f in kept.schema], *more])
+    result = kept.withColumn(name, F.array().cast("array<int>"))
+    return kept.withColumn("_whole", whole(text_col)).mapInArrow(
+        run, (result.withColumn(back, F.lit("")) if back else result).schema)
+
+
 def encode(docs: DataFrame, model: str, text_col: str = "text", name: str = "ids") -> DataFrame:
     """``docs`` with ``name``: the piece ids of the whole text, without begin or end marks.
 
     Null and empty texts give an empty list. Other columns are passed on; one called ``name``
     is replaced. Memory beyond the text itself is a window of the longest piece.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model_pieces = pieces(model)
-        for batch in batches:
-            lists = [np.array(model_pieces.encode(t), np.int32) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *lists]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], schema=target)
+    return _mapped(docs, model, text_col, name, None)
+
 
-    kept = docs.drop(name)
-    source = kept.withColumn("_whole", whole(text_col))
-    target = pa.schema([*[(f.name, to_arrow_type(f.dataType)) for f in kept.schema], (name, pa.list_(pa.int32()))])
-    return source.mapInArrow(run, kept.withColumn(name, F.array().cast("array<int>")).schema)
+def encode_and_decode(
+    docs: DataFrame, model: str, text_col: str = "text", name: str = "ids", back: str = "decoded",
+) -> DataFrame:
+    """``encode`` and, in the same pass over the texts, ``back``: the text of the ids."""
+    return _mapped(docs, model, text_col, name, back)
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """``encoded`` with ``name``: the text of the ids. Null counts as no ids, an empty text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_pieces = pieces(model)
-        for batch in batches:
+        for batch in _parts(batches):
             lists = batch.column(batch.schema.get_field_index(ids_col))
             texts = [model_pieces.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else ""
                      for x in lists]
@@ -177,7 +200,6 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
     The models write spaces as U+2581, so such a character comes back as a space.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), whole(text_col).alias("text"))
-    both = decode(encode(rows, model), model)
-    return both.select(
+    return encode_and_decode(rows, model).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids",
         (F.col("decoded") == F.replace("text", F.lit(MARK), F.lit(" "))).alias("same"))

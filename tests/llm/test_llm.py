@@ -19,7 +19,7 @@ from corvane.llm.jaccard_join import near_duplicate_groups
 from corvane.llm.mixing import mix_sources
 from corvane.llm.quality_model import ORDER, KneserNey, interpolate, judge_quality, train_quality
 from corvane.llm.queries import ORACLES, PIECES, QUERIES, TOKENIZER, vocabulary
-from corvane.llm.sentence_pieces import pieces, round_trip
+from corvane.llm.sentence_pieces import decode, encode, encode_and_decode, pieces, round_trip
 from corvane.llm.token_counts import chunk_map, count_tokens, counter
 from corvane.llm.toxicity import score_toxicity, train_toxicity
 from corvane.llm.url_filter import host_and_path, judge_urls, segment
@@ -83,6 +83,8 @@ def test_pieces_equal_library_and_round_trip(spark):
         assert own.encode(text) == library.encode(text)
         solid = "x" + text.replace("▁", "a").replace(" ", "b")
         assert list(own.stream(" " + solid)) == library.encode(solid)
+    apart = decode(encode(docs(spark, EDGE), vocabulary(PIECES)), vocabulary(PIECES))
+    assert Counter(map(str, apart.collect())) == Counter(map(str, encode_and_decode(docs(spark, EDGE), vocabulary(PIECES)).collect()))
     got = round_trip(docs(spark, EDGE), vocabulary(PIECES)).collect()
     assert Counter((r.doc_id, r.n_ids) for r in got) == Counter((i, len(library.encode(t or ""))) for i, t in EDGE)
     assert all(r.same for r in got)
