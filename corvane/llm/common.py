@@ -21,6 +21,19 @@ def whole(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def with_whole(df: DataFrame, text_col: str) -> DataFrame:
+    """``df`` with the whole text, null as empty, as a further last column."""
+    return df.withColumn(fresh(df, "_whole"), whole(text_col))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, safe from lost executors."""
     path = scratch_path(df.sparkSession, label)

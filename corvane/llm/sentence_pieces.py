@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corvane.llm.common import whole
+from corvane.llm.common import whole, with_whole
 from corvane.llm.merges import START, Merger, Transducer
 
 MARK = "▁"  # stands for a space inside pieces
@@ -159,7 +159,7 @@ def _mapped(docs: DataFrame, model: str, text_col: str, name: str, back: str | N
     more = [(name, pa.list_(pa.int32())), *([(back, pa.string())] if back else [])]
     target = pa.schema([*[(f.name, to_arrow_type(f.dataType)) for f in kept.schema], *more])
     result = kept.withColumn(name, F.array().cast("array<int>"))
-    return kept.withColumn("_whole", whole(text_col)).mapInArrow(
+    return with_whole(kept, text_col).mapInArrow(
         run, (result.withColumn(back, F.lit("")) if back else result).schema)
 
 

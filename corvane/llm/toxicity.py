@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from corvane.llm.common import held_out, whole
+from corvane.llm.common import held_out, whole, with_whole
 from corvane.session import cut
 
 SAMPLE = 8_000
@@ -299,7 +299,7 @@ def with_score(
                 names=[*batch.schema.names[:-1], name])
 
     kept = docs.drop(name)
-    return kept.withColumn("_whole", whole(text_col)).mapInArrow(
+    return with_whole(kept, text_col).mapInArrow(
         score, kept.withColumn(name, F.lit(0.0)).schema)
 
 
