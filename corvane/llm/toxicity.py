@@ -24,6 +24,7 @@ RIDGE = 0.01
 ORDER, SPAN, DECAY = 3, 5, 0.6
 LETTERS = 32  # a to z and six classes of all other letters
 WINDOW = 24
+PART, WORDS_KEPT = 256, 200_000
 NOT_LETTER = re.compile(r"[\W\d_]+")
 #: Positions, from a first letter, of the other two letters of a subsequence within SPAN.
 GAPS = [(a, b) for a in range(1, SPAN - 1) for b in range(a + 1, SPAN)]
@@ -112,16 +113,24 @@ class ToxicityModel:
         return best
 
     def document_margins(self, texts: Iterator[str], memo: dict[str, float]) -> list[float]:
-        """The highest margin of any word; the bias alone if there is no word."""
-        words = [tokens(t) for t in texts]
-        new = [w for w in set().union(*words) if w not in memo] if words else []
-        if len(memo) + len(new) > 400_000:
-            memo.clear()
-            new = list(set().union(*words))
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            memo.update(zip(part, self.margins(part).tolist()))
-        return [max(map(memo.__getitem__, w), default=self.bias) for w in words]
+        """The highest margin of any word; the bias alone if there is no word.
+
+        Words of PART texts are held at a time.
+        """
+        out: list[float] = []
+        texts = list(texts)
+        for first in range(0, len(texts), PART):
+            words = [tokens(t) for t in texts[first:first + PART]]
+            met = set().union(*words)
+            new = [w for w in met if w not in memo]
+            if len(memo) + len(new) > WORDS_KEPT:
+                memo.clear()
+                new = list(met)
+            for at in range(0, len(new), 20_000):
+                part = new[at:at + 20_000]
+                memo.update(zip(part, self.margins(part).tolist()))
+            out += [max(map(memo.__getitem__, w), default=self.bias) for w in words]
+        return out
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))

@@ -236,7 +236,8 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
     held = [i for i, _ in rows if got[i].held_out]
     assert np.mean([got[i].predicted == labels[i][1] for i in held]) > 0.95
-    assert got[1000].score == got[1001].score >= 0.5 and got[1003].predicted == got[1004].predicted == 0
+    # two different insults, both at the margin of the machine
+    assert got[1000].score == pytest.approx(got[1001].score, abs=1e-6) and got[1001].score >= 0.5 and got[1003].predicted == got[1004].predicted == 0
     assert got[1002].score > 0.2 > got[1003].score  # one letter too many keeps most of the score
     assert train_toxicity(table.limit(0), labelled).triples.any() == False  # noqa: E712
 
