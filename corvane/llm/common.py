@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corvane.functions.ordering import place_in_order
@@ -10,6 +13,7 @@ from corvane.session import cut, scratch_path
 SPACE = "\x20\t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 HOLD_OUT = 5
+ROWS = 512  # texts that a task works on at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +25,13 @@ def whole(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ROWS rows, so what is derived from texts stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, made longer until no column of ``df`` is called so in any case."""
     taken = {c.lower() for c in df.columns}

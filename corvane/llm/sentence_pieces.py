@@ -11,13 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corvane.llm.common import whole, with_whole
+from corvane.llm.common import parts, whole, with_whole
 from corvane.llm.merges import START, Merger, Transducer
 
 MARK = "▁"  # stands for a space inside pieces
 SEGMENT = re.compile(r" *[^ ]+| +")
 CHECK_EVERY = 32
-ROWS = 512  # texts whose ids a task holds at a time
 
 
 class Pieces(dict):
@@ -138,17 +137,11 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            yield batch.slice(at, ROWS)
-
-
 def _mapped(docs: DataFrame, model: str, text_col: str, name: str, back: str | None) -> DataFrame:
     """``docs`` with the ids of the whole texts and, for ``back``, the text of these ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_pieces = pieces(model)
-        for batch in _parts(batches):
+        for batch in parts(batches):
             lists = [model_pieces.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int32))
@@ -183,7 +176,7 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", name: str = "de
     """``encoded`` with ``name``: the text of the ids. Null counts as no ids, an empty text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_pieces = pieces(model)
-        for batch in _parts(batches):
+        for batch in parts(batches):
             lists = batch.column(batch.schema.get_field_index(ids_col))
             texts = [model_pieces.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else ""
                      for x in lists]
