@@ -71,31 +71,38 @@ def default_registry() -> Registry:
 def expand_zip(
     archives: DataFrame, extensions: list[str] | None = None
 ) -> DataFrame:
-    """Members of zip files (path, content): (archive, path, ext, content).
+    """Members of zip files (path, content): (archive, path, ext, content, error).
 
-    Only members with a supported extension are kept. A broken archive yields no member.
+    Only members with a supported extension are kept. A broken archive gives one row without
+    path and content, an unreadable member one without content; ``error`` says why.
     """
     wanted = {e.lower() for e in (extensions or SUPPORTED_EXTENSIONS)}
 
+    def row(archive: str, path: str | None, content: bytes | None, error: Exception | None) -> pd.DataFrame:
+        ext = None if path is None else posixpath.splitext(path)[1].lower()
+        return pd.DataFrame({
+            "archive": [archive], "path": [path], "ext": [ext], "content": [content],
+            "error": [None if error is None else str(error) or type(error).__name__]})
+
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for archive, content in zip(batch["path"], batch["content"]):
                 try:
                     opened = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile:
+                except Exception as problem:
+                    yield row(archive, None, None, problem)
                     continue
                 # one member at a time keeps only that member in memory
                 for info in opened.infolist():
-                    ext = posixpath.splitext(info.filename)[1].lower()
-                    if info.is_dir() or ext not in wanted:
+                    if info.is_dir() or posixpath.splitext(info.filename)[1].lower() not in wanted:
                         continue
-                    yield pd.DataFrame({
-                        "archive": [archive], "path": [info.filename],
-                        "ext": [ext], "content": [opened.read(info)],
-                    })
+                    try:
+                        yield row(archive, info.filename, opened.read(info), None)
+                    except Exception as problem:
+                        yield row(archive, info.filename, None, problem)
 
     return archives.select("path", "content").mapInPandas(
-        members, "archive string, path string, ext string, content binary"
+        members, "archive string, path string, ext string, content binary, error string"
     )
 
 

@@ -50,8 +50,9 @@ def json_docs(df: DataFrame, mode: str = "v1", value: str = "value") -> DataFram
     """Documents in JSON texts (column ``value``): adds ``text``.
 
     ``v1``: a list gives one document per non-empty item, an object its ``text`` (or the
-    whole object), a scalar itself. ``v2``: a list is one document. Invalid JSON gives no
-    row.
+    whole object; a ``text`` that is null gives nothing), a scalar itself. ``v2``: a list is
+    one document. Empty items are null, false, zero and empty texts, lists and objects.
+    Invalid JSON gives no row.
     """
     keep = [c for c in df.columns if c != value]
     parsed = df.withColumn("_v", F.try_parse_json(value)).filter(F.col("_v").isNotNull())
@@ -62,7 +63,10 @@ def json_docs(df: DataFrame, mode: str = "v1", value: str = "value") -> DataFram
         F.to_json("_v")
     )
     field = F.try_variant_get("_v", "$.text", "string")
-    single = F.when(is_object, F.coalesce(field, whole)).otherwise(whole)
+    no_text = F.coalesce(F.is_variant_null(F.try_variant_get("_v", "$.text", "variant")), F.lit(False))
+    single = F.when(is_object & no_text, F.lit(None).cast("string")).when(
+        is_object, F.coalesce(field, whole)
+    ).otherwise(whole)
     if mode == "v2":
         return parsed.select(*keep, single.alias("text")).filter(F.length("text") > 0)
     if mode != "v1":
@@ -76,9 +80,16 @@ def json_docs(df: DataFrame, mode: str = "v1", value: str = "value") -> DataFram
     item = F.when(
         item_kind == "STRING", F.try_variant_get("_item", "$", "string")
     ).otherwise(F.to_json("_item"))
-    empty = ~item_kind.isin("VOID") & ~item.isin("", "0", "0.0", "false", "null", "[]", "{}")
+    filled = (
+        F.when(item_kind == "VOID", False)
+        .when(item_kind == "STRING", item != "")
+        .when(item_kind == "BOOLEAN", item == "true")
+        .when(item_kind.startswith("ARRAY"), item != "[]")
+        .when(item_kind.startswith("OBJECT"), item != "{}")
+        .otherwise(F.try_variant_get("_item", "$", "double") != 0)
+    )
     return (
-        spread.filter(~F.col("_list") | empty)
+        spread.filter(~F.col("_list") | filled)
         .select(*keep, F.when(F.col("_list"), item).otherwise(F.col("_single")).alias("text"))
         .filter(F.length("text") > 0)
     )
@@ -156,20 +167,26 @@ def corpus_load(
 def ingest_csv(
     spark: SparkSession, path: str, with_text: bool = True, multi_line: bool = True
 ) -> DataFrame:
-    """One row per CSV file: (path, rows, columns[, text]).
+    """One row per ``*.csv`` file: (path, rows, columns[, text]).
 
-    Records are counted by the CSV reader. Line breaks inside quotes need ``multi_line``,
-    which reads a file in one task; without such cells pass False and large files are
-    split. The text is the file as it is.
+    Records are counted by the CSV reader, columns in each file's own first line. Line breaks
+    inside quotes need ``multi_line``, which reads a file in one task; without such cells pass
+    False and large files are split. The text is the file as it is.
     """
-    reader = spark.read.option("header", "true").option("recursiveFileLookup", "true")
-    table = reader.option("multiLine", str(multi_line).lower()).csv(path)
-    columns = len(table.columns)
-    counts = (
-        table.select(F.col("_metadata.file_path").alias("path"))
-        .groupBy("path")
-        .agg(F.count("*").alias("rows"))
-        .withColumn("columns", F.lit(columns))
+    def below(reader):
+        return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+
+    table = below(spark.read.option("header", "true")).option("multiLine", str(multi_line).lower()).csv(path)
+    records = table.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("rows"))
+    # a file's first split holds its first line
+    lines = below(spark.read).text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    ).filter("start = 0")
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    heads = lines.groupBy("path").agg(F.min_by(F.size(F.split(bare, ",")), "at").alias("columns"))
+    counts = heads.join(records, "path", "left").select(
+        "path", F.coalesce("rows", F.lit(0)).alias("rows"), "columns"
     )
     if not with_text:
         return counts

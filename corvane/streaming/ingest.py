@@ -27,11 +27,16 @@ def ingest_batch(
 ) -> tuple[Store, DataFrame]:
     """(store rows, quarantined rows) of a batch of files; zip files are expanded."""
     is_zip = F.lower("path").endswith(".zip")
-    members = expand_zip(files.filter(is_zip)).select(
-        F.concat_ws("!", "archive", "path").alias("path"), "content"
+    found = expand_zip(files.filter(is_zip)).withColumn("path", F.concat_ws("!", "archive", "path"))
+    members = found.filter("error is null").select("path", "content")
+    unread = found.filter("error is not null").select(
+        "path", F.coalesce(F.ltrim("ext", F.lit(".")), F.lit("zip")).alias("ext"),
+        F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("metadata"),
+        F.lit("error").alias("status"), "error",
     )
     plain = files.filter(~is_zip).select("path", "content")
     good, bad = error_route(extract(plain.unionByName(members), registry))
+    bad = bad.unionByName(unread)
     batch = good.select(
         F.md5("path").alias("id"), F.col("ext").alias("data_type"),
         F.col("text").alias("content"), F.col("path").alias("source"), "metadata",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.operators import sheets
 from corvane.sources import extractors, files
+from corvane.streaming import ingest
 
 LONG = "This sentence is long enough to be kept by both loaders."
 
@@ -58,9 +59,14 @@ def test_ingest_text_marks_bad_bytes(spark, folder):
 def test_ingest_csv(spark, tmp_path):
     (tmp_path / "x.csv").write_text('a,b\n1,"two\nlines"\n3,4\n')
     (tmp_path / "y.csv").write_text("a,b\n5,6\n")
+    (tmp_path / "z.csv").write_text('a,"b, c",d,e\n1,2,3,4\n')
+    (tmp_path / "head.csv").write_text("a\n")
+    (tmp_path / "note.txt").write_text("no table\n")
     got = {r["path"].rsplit("/", 1)[1]: r for r in files.ingest_csv(spark, str(tmp_path)).collect()}
     assert got["y.csv"]["rows"] == 1 and got["y.csv"]["columns"] == 2
     assert got["y.csv"]["text"] == "a,b\n5,6\n" and got["x.csv"]["rows"] == 2
+    assert got["z.csv"]["columns"] == 4 and got["x.csv"]["columns"] == 2
+    assert (got["head.csv"]["rows"], got["head.csv"]["columns"]) == (0, 1) and len(got) == 4
 
 
 def archive(members):
@@ -75,7 +81,28 @@ def test_zip_members(spark):
     good = archive({"a.txt": "x", "deep/er/b.MD": "y", "c.exe": "z", "dir/": ""})
     df = spark.createDataFrame([("one.zip", bytearray(good)), ("bad.zip", bytearray(b"no zip"))], "path string, content binary")
     got = sorted((r["archive"], r["path"], r["ext"]) for r in extractors.expand_zip(df).collect())
-    assert got == [("one.zip", "a.txt", ".txt"), ("one.zip", "deep/er/b.MD", ".md")]
+    assert got == [("bad.zip", None, None), ("one.zip", "a.txt", ".txt"), ("one.zip", "deep/er/b.MD", ".md")]
+    broken = bytearray(good.replace(b"x", b"q", 1))  # the member's checksum no longer fits
+    df = spark.createDataFrame([("two.zip", broken)], "path string, content binary")
+    errors = {r["path"]: r["error"] for r in extractors.expand_zip(df).collect()}
+    assert errors["a.txt"] and errors["deep/er/b.MD"] is None
+
+
+def test_broken_archives_reach_quarantine(spark):
+    from tests.test_store import validate
+    df = spark.createDataFrame([("in/bad.zip", bytearray(b"no zip")), ("in/a.txt", bytearray(b"text"))], "path string, content binary")
+    kept, bad = ingest.ingest_batch(df, validate)
+    assert [(r["path"], r["status"]) for r in bad.collect()] == [("in/bad.zip", "error")] and kept.entries.count() == 1
+
+
+def test_json_items_and_null_text(spark):
+    made = [json.dumps(["0", "false", "null", "[]", "", 0, 0.0, -0.0, False, None, [], {}, True, 7]),
+            '{"text": null, "n": 1}', '{"text": "x"}', '{"n": 1}']
+    df = spark.createDataFrame(list(enumerate(made)), "id int, value string")
+    got = {}
+    for r in files.json_docs(df, "v1").collect():
+        got.setdefault(r["id"], []).append(r["text"])
+    assert got == {0: ["0", "false", "null", "[]", "true", "7"], 2: ["x"], 3: ['{"n":1}']}
 
 
 def test_extract_routes_failures(spark):

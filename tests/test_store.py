@@ -46,6 +46,23 @@ def test_update_keeps_type_and_ignores_unknown_ids(spark, base):
     assert new.audit.filter("action = 'update'").count() == 1
 
 
+def test_several_changes_of_one_entry(spark, base):
+    rows = [(2, GOOD, 1), (2, "second version", 2), (2, "second version", 2), (3, "only one", 1)]
+    changes = spark.createDataFrame(rows, "id long, content string, seq int")
+    new = store.update_entries(base, changes, validate, stamp("2024-02-01 00:00:00"))
+    assert ids(new.entries) == [1, 2, 3] and ids(new.history, "entry_id") == [1, 2, 2, 2, 3, 3]
+    assert new.entries.filter("id = 2").first()["content"] == "second version"
+    assert new.history.select("id").distinct().count() == 6 and ids(new.sentences, "entry_id") == [1, 1, 2, 3]
+    assert new.audit.filter("action = 'update'").count() == 3
+    wanted = new.history.filter("entry_id = 2").select("entry_id", F.col("id").alias("history_id"))
+    back = store.restore_entries(new, wanted, validate, stamp("2024-03-01 00:00:00"))
+    assert ids(back.entries) == [1, 2, 3] and back.audit.filter("action = 'restore'").count() == 3
+    steps = [(2, "delete", None, 2), (2, "update", GOOD, 1), (2, "update", "too late", 3)]
+    actions = spark.createDataFrame(steps, "id long, action string, content string, seq int")
+    done = store.review_apply(base, actions, validate, stamp("2024-02-01 00:00:00"))
+    assert ids(done.entries) == [1, 3] and done.history.filter("content = 'too late'").count() == 0
+
+
 def test_delete_then_restore_brings_the_old_content_back(spark, base):
     changes = spark.createDataFrame([(1, "short")], "id long, content string")
     updated = store.update_entries(base, changes, validate, stamp("2024-02-01 00:00:00"))
