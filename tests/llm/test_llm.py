@@ -280,6 +280,76 @@ def test_quality_keeps_what_reads_like_trusted_text(spark):
     assert judge_quality(docs(spark, []), labels).count() == 0
 
 
+def brute_word_model(texts):
+    """Interpolated modified Kneser-Ney over word trigrams, from dictionaries."""
+    from corvane.llm.word_model import WORDS
+
+    level = {3: Counter()}
+    for text in texts:
+        words = ["", "", *WORDS.findall(text)]
+        level[3].update(zip(words, words[1:], words[2:]))
+    level[2] = Counter(g[1:] for g in level[3])
+    level[1] = Counter(g[1:] for g in level[2])
+
+    def off(counts, n):
+        of = [max(sum(c == i for c in counts.values()), 1) for i in (1, 2, 3, 4)]
+        i, y = min(n, 3), of[0] / (of[0] + 2 * of[1])
+        return min(max(i - (i + 1) * y * of[i] / of[i - 1], 0.05), i - 0.05)
+
+    def p(gram):
+        if not gram:
+            return 1 / (len(level[1]) + 1)
+        counts = level[len(gram)]
+        same_start = [n for g, n in counts.items() if g[:-1] == gram[:-1]]
+        if not same_start:
+            return p(gram[1:])
+        own = counts.get(gram, 0)
+        spare = sum(off(counts, n) for n in same_start) * p(gram[1:])
+        return ((own - off(counts, own) if own else 0) + spare) / sum(same_start)
+
+    def score(text):
+        words = ["", "", *WORDS.findall(text)]
+        return -sum(math.log(p(g)) for g in zip(words, words[1:], words[2:])) / (len(words) - 2)
+
+    return score
+
+
+def test_word_model_equals_brute_force(spark):
+    from corvane.llm.word_model import KEY, surprises, text_key, train_words
+
+    texts = ["the cat sat on the mat.", "the cat sat", "Привет мир, привет", "the dog sat on the log", None, "", "the cat ran", "the cat"]
+    asked = [*texts, "the mat sat on cat", "unknown words", "Привет мир", " ", "the cat sat", "語 the"]
+    score = brute_word_model([t or "" for t in texts])
+    model = train_words(docs(spark, list(enumerate(texts))))
+    rows = docs(spark, list(enumerate(asked)))
+    got = {r.doc_id: r for r in rows.select("doc_id", *text_key("text")).join(surprises(rows, model), KEY).collect()}
+    assert set(got) == {i for i, t in enumerate(asked) if t and t.strip()}
+    assert all(r.surprise == pytest.approx(score(asked[i])) for i, r in got.items())
+
+
+def test_quality_sees_words_and_their_order(spark):
+    """Letters and short stretches like those of trusted text, but nonsense as words or in order."""
+    rnd = random.Random(7)
+    parts = ["th", "er", "an", "on", "re", "in"]
+    known = [a + b + c for a in parts for b in parts for c in parts]
+    after = {w: rnd.sample(known, 2) for w in known}
+
+    def walk():
+        words = [rnd.choice(known)]
+        while len(words) < 60:
+            words.append(rnd.choice(after[words[-1]]))
+        return words
+
+    trusted = [walk() for _ in range(300)]
+    mixed = [(500 + i, " ".join(rnd.sample(trusted[i], 60))) for i in range(20)]
+    odd = [(600 + i, " ".join(w + rnd.choice(parts) for w in trusted[i])) for i in range(20)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(trusted)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in rows], "doc_id bigint, quality int")
+    got = {r.doc_id: r.kept for r in judge_quality(docs(spark, [*rows, *mixed, *odd]), labels).collect()}
+    assert np.mean([got[i] for i, _ in rows]) > 0.9
+    assert not any(got[i] for i, _ in mixed) and not any(got[i] for i, _ in odd)
+
+
 def test_pipeline_stages(spark):
     got = corpus_pipeline.run(spark, SF)
     table = spark.read.parquet(f"{SF}/documents.parquet")
