@@ -18,7 +18,6 @@ RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
     ("net", "/es/", "block"), ("net", "/fr/", "block"),
 ]
-LEXICON = 50_000
 LONGEST = 24
 
 
@@ -44,11 +43,8 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]
     return found
 
 
-def lexicon(texts: DataFrame, text_col: str, size: int = LEXICON) -> dict[str, float]:
-    """Log probabilities of the ``size`` most frequent words of all texts (ties by word).
-
-    Words are counted per task first. The bound keeps the table that every task needs small.
-    """
+def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
+    """(word, n) of all words of all texts, counted per task first."""
     word = re.compile(rb"[a-z]{2,24}").findall
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,19 +65,18 @@ def lexicon(texts: DataFrame, text_col: str, size: int = LEXICON) -> dict[str, f
         yield flush()
 
     rows = texts.select(whole(text_col).alias("text")).mapInArrow(count, "word string, n bigint")
-    top = rows.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size).toPandas()
-    total = math.log(top["n"].sum()) if len(top) else 0.0
-    return {w: math.log(n) - total for w, n in zip(top["word"], top["n"])}
+    return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def segment(name: str, words: dict[str, float]) -> list[str]:
+def segment(name: str, words: dict[str, float], least: float | None = None) -> list[str]:
     """The most probable split of a concatenated name (unigram Viterbi).
 
+    ``words`` needs those that occur in the name; ``least`` is then the lowest log probability of all.
     A stretch that no word explains costs ten words' worth per character and stays together.
     """
     if not words:
         return [name] if name else []
-    unknown = min(words.values()) - 2.0
+    unknown = (min(words.values()) if least is None else least) - 2.0
     best, back = [0.0], [0]
     for end in range(1, len(name) + 1):
         options = [(best[start] + words[name[start:end]], start)
@@ -103,17 +98,42 @@ def segment(name: str, words: dict[str, float]) -> list[str]:
     return out
 
 
-def url_tokens(host: str, path: str, words: dict[str, float], memo: dict[str, list[str]]) -> list[str]:
-    """'h:' tokens of the host's segmented labels and 'p:' tokens of the path."""
-    out = []
-    for label in re.split(r"[^a-z0-9]+", host):
-        if label:
-            if label not in memo:
-                if len(memo) > 200_000:
-                    memo.clear()
-                memo[label] = segment(label, words) if label.isalpha() else [label]
-            out += ["h:" + t for t in memo[label]]
-    return out + ["p:" + t for t in re.split(r"[^a-z]+", path.lower()) if t]
+def segmented(names: DataFrame, words: DataFrame) -> DataFrame:
+    """(name, parts): the split of every distinct name, by the counts of all words.
+
+    A name's substrings are joined to the word table, so a task holds the words of one name.
+    """
+    total, least = words.agg(F.sum("n"), F.min("n")).first()
+    log_total = math.log(total) if total else 0.0
+    lowest = math.log(least) - log_total if total else 0.0
+    starts = F.sequence(F.lit(1), F.length("name") - 1)
+    pieces = F.flatten(F.transform(starts, lambda at: F.transform(
+        F.sequence(F.lit(2), F.least(F.lit(LONGEST), F.length("name") - at + 1)), lambda size: F.substring("name", at, size))))
+    found = (
+        names.filter(F.length("name") > 1).select("name", F.explode(F.array_distinct(pieces)).alias("word"))
+        .join(words, "word").groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("words"))
+    )
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [
+                segment(name, {w["word"]: math.log(w["n"]) - log_total for w in hits or ()}, lowest)
+                for name, hits in zip(batch.column("name").to_pylist(), batch.column("words").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("name"), pa.array(parts, pa.list_(pa.string()))], names=["name", "parts"])
+
+    return names.join(found, "name", "left").select("name", "words").mapInArrow(split, "name string, parts array<string>")
+
+
+def host_tokens(hosts: DataFrame, words: DataFrame) -> DataFrame:
+    """(host, host_tokens) of the hosts with letters or digits: 'h:' tokens, labels split at digits and into words."""
+    runs = hosts.select("host", F.explode(F.regexp_extract_all("host", F.lit("([a-z]+|[0-9]+)"), F.lit(1))).alias("name"))
+    parts = segmented(runs.filter("name >= 'a'").select("name").distinct(), words)
+    return (
+        runs.join(parts, "name", "left")
+        .select("host", F.explode(F.coalesce("parts", F.array("name"))).alias("part"))
+        .groupBy("host").agg(F.collect_list(F.concat(F.lit("h:"), F.col("part"))).alias("host_tokens"))
+    )
 
 
 def judge_urls(
@@ -124,7 +144,7 @@ def judge_urls(
 
     The longest rule that fits decides. Other addresses are judged by multinomial naive Bayes
     with add-one smoothing over the tokens of segmented host and path; its classes are learned
-    from all addresses that rules decide, its word list from the pages' texts. Tokens are
+    from all addresses that rules decide, its word list from all words of the pages' texts. Tokens are
     counted per distinct host and path, then per class, and the counts are joined to the
     undecided addresses' tokens. score is the log odds of block; ties and addresses without
     tokens follow the class sizes, and without any decided address everything is allowed.
@@ -133,20 +153,15 @@ def judge_urls(
     """
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    words = lexicon(pages, text_col)
-    distinct = rows.groupBy("host", "path").agg(F.count("*").alias("n")).withColumn(
-        "ruled", matching_rule(F.col("host"), F.col("path"), rules))
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, list[str]] = {}
-        for batch in batches:
-            hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
-            found = [url_tokens(h, p, words, memo) for h, p in zip(hosts, paths)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.list_(pa.string()))], names=[*batch.schema.names, "tokens"])
-
-    tokens = cut(distinct.select("host", "path", "n", "ruled.verdict").mapInArrow(
-        split, "host string, path string, n bigint, verdict string, tokens array<string>"))
+    distinct = cut(rows.groupBy("host", "path").agg(F.count("*").alias("n")))
+    by_host = host_tokens(distinct.select("host").distinct(), cut(word_counts(pages, text_col)))
+    in_path = F.transform(
+        F.filter(F.split(F.lower("path"), "[^a-z]+"), lambda t: t != ""), lambda t: F.concat(F.lit("p:"), t))
+    ruled = matching_rule(F.col("host"), F.col("path"), rules)
+
+    tokens = cut(distinct.join(by_host, "host", "left").select(
+        "host", "path", "n", ruled["verdict"].alias("verdict"),
+        F.concat(F.coalesce("host_tokens", F.array().cast("array<string>")), in_path).alias("tokens")))
     known = tokens.filter("verdict is not null")
     block = F.when(F.col("verdict") == "block", F.col("n")).otherwise(0)
     model = known.select("n", "verdict", F.explode("tokens").alias("token")).groupBy("token").agg(

@@ -259,6 +259,36 @@ def test_urls(spark):
     assert segment("cheappills", words) == ["cheap", "pills"] and segment("", words) == []
 
 
+def test_hosts_are_split_by_all_words(spark):
+    """Also by words less frequent than 50,000 others, and on both sides of digits."""
+    from corvane.llm.url_filter import host_tokens, word_counts
+
+    many = " ".join("x" + "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(50_000))
+    texts = [f"{many} {many} casino bonus", "Casino cheap pills pills", None]
+    pages = spark.createDataFrame([(t,) for t in texts], "html string")
+    words = word_counts(pages, "html")
+    got = {r["word"]: r["n"] for r in words.collect()}
+    assert len(got) == 50_004 and got["casino"] == 2 and got["bonus"] == 1
+    hosts = spark.createDataFrame([("casino777bonus.cheappills-xy",), ("casinobonus",), ("7",), ("...",), ("",)], "host string")
+    found = {r.host: sorted(r.host_tokens) for r in host_tokens(hosts, words).collect()}
+    assert found == {"casino777bonus.cheappills-xy": ["h:777", "h:bonus", "h:casino", "h:cheap", "h:pills", "h:xy"],
+                     "casinobonus": ["h:bonus", "h:casino"], "7": ["h:7"]}
+    logs = {w: math.log(n) - math.log(sum(got.values())) for w, n in got.items()}
+    for name in ("cheapbonuscasino", "qqcheapq", "zz", "a", "xaaaabonus"):
+        row = host_tokens(spark.createDataFrame([(name,)], "host string"), words).first()
+        assert sorted(row.host_tokens) == sorted("h:" + t for t in segment(name, logs))
+
+
+def test_verdicts_follow_rare_words_beside_digits(spark):
+    many = " ".join("x" + "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(50_000))
+    urls = [f"http://casino{i}bonus.net/es/" for i in range(5)] + [f"http://garden{i}tools.com/" for i in range(5)]
+    urls += ["http://casino999bonus.org", "http://garden999tools.org"]
+    text = f"{many} {many} casino bonus garden tools"
+    pages = spark.createDataFrame([(i, u, text if i == 0 else "") for i, u in enumerate(urls)], "page_id int, url string, html string")
+    got = {r.page_id: r.verdict for r in judge_urls(pages).collect()}
+    assert got[10] == "block" and got[11] == "allow"
+
+
 def test_language_model_is_a_distribution_and_matches_counts(spark):
     texts = [(i, t) for i, t in enumerate(["the cat sat.", "the hat", None, "", "a cat"])]
     model = train_quality(docs(spark, texts))
