@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +137,19 @@ def test_running_best_is_strict(spark):
     log = spark.createDataFrame(rows, "run string, step int, loss double")
     got = {(r["run"], r["step"]) for r in analytics.running_best(log, "run", "step", "loss").collect()}
     assert got == {("r", 0), ("r", 2), ("r", 4), ("s", 0)}
+
+
+def test_iforest_trees_draw_from_all_rows(spark):
+
+    ids = sorted(range(30_000), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+    rare = set(ids[8192::1000])  # none among the 8,192 rows with the smallest hash
+    df = spark.createDataFrame([(i, 1000.0 if i in rare else i % 100 / 100) for i in range(30_000)], "id bigint, quality_score double")
+    got = {r["id"]: r["score"] for r in anomalies.anomaly_iforest(df).collect()}
+    assert max(got[i] for i in rare) < min(s for i, s in got.items() if i not in rare)
+    small = df.select("id", F.col("id").cast("double").alias("value")).limit(3000)
+    values = np.array([r["value"] for r in small.collect()])
+    base = np.array([r[0] for r in small.select(F.xxhash64(F.concat_ws(":", F.lit("1"), F.col("id").cast("string")))).collect()])
+    for parts in (1, 7):
+        drawn = anomalies.tree_samples(small.repartition(parts), 3, 50, 1)
+        for tree, sample in enumerate(drawn):
+            assert sample.tolist() == values[np.argsort(anomalies.tree_keys(base, tree))[:50]].tolist()
