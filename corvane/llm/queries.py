@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm import exact_dedup, mixing, vector_dedup, warc
 from corvane.llm.common import table
+from corvane.llm.conversation_repair import repair_report
 from corvane.llm.jaccard_join import near_duplicate_groups
 from corvane.llm.quality_model import judge_quality
 from corvane.llm.sentence_pieces import round_trip
@@ -64,10 +65,15 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_token_counts, op2_quality_classifier, op3_toxicity, op4_vector_dedup, op5_warc_chunks, op6_exact_dedup,
-        op7_sentence_pieces, op8_mix_sources, op9_url_filter, op10_ngram_jaccard_join)
+        op7_sentence_pieces, op8_mix_sources, op9_url_filter, op10_ngram_jaccard_join,
+        op11_conversation_repair)
 }
 ORACLES = {
     "op4_vector_dedup": vector_dedup.SQL, "op5_warc_chunks": warc.SQL, "op6_exact_dedup": exact_dedup.SQL,
