@@ -45,11 +45,24 @@ def with_whole(df: DataFrame, text_col: str) -> DataFrame:
     return df.withColumn(fresh(df, "_whole"), whole(text_col))
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, safe from lost executors."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark's own setting: a query's shuffle files go when it ends, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, safe from lost executors.
+
+    The table replaces the shuffle files behind it, so these are removed with the write.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def held_out(id_col: str) -> Column:

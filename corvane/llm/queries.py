@@ -11,6 +11,7 @@ from corvane.llm.jaccard_join import near_duplicate_groups
 from corvane.llm.quality_model import judge_quality
 from corvane.llm.sentence_pieces import round_trip
 from corvane.llm.token_counts import count_tokens
+from corvane.llm.token_files import stored_ids
 from corvane.llm.toxicity import score_toxicity, train_toxicity
 from corvane.llm.url_filter import judge_urls
 
@@ -69,11 +70,15 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(table(spark, sf_dir, "conversations"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_ids(spark, table(spark, sf_dir, "documents"), vocabulary(TOKENIZER))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_token_counts, op2_quality_classifier, op3_toxicity, op4_vector_dedup, op5_warc_chunks, op6_exact_dedup,
         op7_sentence_pieces, op8_mix_sources, op9_url_filter, op10_ngram_jaccard_join,
-        op11_conversation_repair)
+        op11_conversation_repair, op12_token_files)
 }
 ORACLES = {
     "op4_vector_dedup": vector_dedup.SQL, "op5_warc_chunks": warc.SQL, "op6_exact_dedup": exact_dedup.SQL,
