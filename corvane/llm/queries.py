@@ -14,6 +14,7 @@ from corvane.llm.token_counts import count_tokens
 from corvane.llm.token_files import stored_ids
 from corvane.llm.toxicity import score_toxicity, train_toxicity
 from corvane.llm.url_filter import judge_urls
+from corvane.llm.whitening import whitened_rows
 
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -74,11 +75,15 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_ids(spark, table(spark, sf_dir, "documents"), vocabulary(TOKENIZER))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_rows(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_token_counts, op2_quality_classifier, op3_toxicity, op4_vector_dedup, op5_warc_chunks, op6_exact_dedup,
         op7_sentence_pieces, op8_mix_sources, op9_url_filter, op10_ngram_jaccard_join,
-        op11_conversation_repair, op12_token_files)
+        op11_conversation_repair, op12_token_files, op13_embedding_whitening)
 }
 ORACLES = {
     "op4_vector_dedup": vector_dedup.SQL, "op5_warc_chunks": warc.SQL, "op6_exact_dedup": exact_dedup.SQL,
