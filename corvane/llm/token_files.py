@@ -8,6 +8,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -24,25 +25,25 @@ MAGIC = b"IDS1"
 HEAD = struct.Struct("<IIIB")
 BLOCK = 1 << 16  # ids of a block
 SLICE = 1 << 18  # characters of a text that are split at a time
-JOINED = 128
-MEMO = 300_000
+JOINED = 512
+MEMO = 400_000
 LONGEST = 64
 RANKS = "ranks.u32"
 END = 0
 
-MIXED = re.compile(r"\s ").search
-SEGMENTS = re.compile(r"(?<=\S)(?= )").split
-CUT = re.compile(r"(?<=\S) ").search
+MIXED = re.compile(r"\s[ \n]").search
+SEGMENTS = re.compile(r"(?<=\S)(?=[ \n])").split
+CUT = re.compile(r"(?<=\S)[ \n]").search
 MARKS = ".,;:!?"
 
 
 class Encoder:
     """Ids of whole texts by the library, which sees every different segment once.
 
-    A segment starts at a space behind something that is no white space; there a token of this
-    vocabulary always ends, so segments are encoded apart. Marks behind an ASCII letter or digit
+    A segment starts at a space or line feed behind something that is no white space; there a token of
+    this vocabulary always ends, so segments are encoded apart. Marks behind an ASCII letter or digit
     are a segment of their own for the same reason. Unknown segments go to the library many at a
-    time, joined at their spaces; token lengths in bytes tell them apart again.
+    time, joined as they stand; token lengths in bytes tell them apart again.
     """
 
     def __init__(self, path: str):
@@ -58,81 +59,107 @@ class Encoder:
             self.lengths[i] = len(token) if letters.issuperset(token) else len(token.encode())
         for i, token in self.library.get_added_tokens_decoder().items():
             self.lengths[i] = len(token.content.encode())
+        #: Ids of a segment; a key that does not start with a line feed stands behind a space.
         self.known: dict[str, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
-        """The ids of one text, slice by slice."""
-        out, at = [], 0
-        while at < len(text) or at == 0:
-            end = len(text)
-            if end - at > SLICE and (cut := CUT(text, at + SLICE)):
-                end = cut.start()
-            part = text[at:end]
-            if MIXED(part):
-                first, *rest = SEGMENTS(part)
-                rest = [r[1:] for r in rest]
-            else:
-                first, *rest = part.split(" ")
-            if at and first == "":  # a later slice starts with the space it was cut at
-                first, rest = None, rest
-            out += self._segments(first, rest)
-            if end == at:
-                break
-            at = end
-        return np.frombuffer(b"".join(out), self.dtype)
-
-    def _segments(self, first: str | None, rest: list[str]) -> list[bytes]:
-        if len(self.known) > MEMO:
-            self.known = {}
-        new = set(rest).difference(self.known)
-        if new:
+        return self.all_ids([text])[0]
+
+    def all_ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; long texts are worked on slice by slice."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        for slices in zip_longest(*map(_slices, texts)):
+            held = [(at, *_words(part, at_start)) for at, (part, at_start) in enumerate(s or ("", True) for s in slices)]
+            if len(self.known) > MEMO:
+                self.known = {}
+            new = set().union(*(words for _, _, words, _ in held)).difference(self.known)
             self._learn(new)
-        out = [] if first is None else [self._packed(self.library.encode(first, add_special_tokens=False).ids)]
-        out += map(self.known.__getitem__, rest)
-        for word in new:
-            if len(word) > LONGEST:
-                del self.known[word]
-        return out
+            for at, first, words, apart in held:
+                if first:
+                    out[at].append(self._packed(self.library.encode(first, add_special_tokens=False).ids))
+                found = list(map(self.known.__getitem__, words))
+                for place, segment in apart.items():
+                    found[place] = self._packed(self.library.encode(segment, add_special_tokens=False).ids)
+                out[at] += found
+            for word in new:
+                if len(word) > LONGEST:
+                    del self.known[word]
+        return [np.frombuffer(b"".join(o), self.dtype) for o in out]
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
     def _learn(self, words: set[str]) -> None:
-        """Fill ``known`` for segments given without the space they start with."""
-        plain, tails, other = set(), {}, []
+        """Fill ``known`` for new keys."""
+        plain: dict[str, set[str]] = {" ": set(), "\n": set()}
+        tails: list[tuple[str, str, str]] = []
+        other = []
         for word in words:
             core = word.rstrip(MARKS)
             if core != word and core[-1:].isalnum() and core.isascii():
-                tails[word] = core
+                tails.append((word, core, word[len(core):]))
                 if core in self.known:
                     continue
                 word = core
-            if word.split(None, 1) == [word]:
-                plain.add(word)
+            lead, bare = ("\n", word[1:]) if word[:1] == "\n" else (" ", word)
+            if bare.split(None, 1) == [bare]:
+                plain[lead].add(bare)
             elif word not in self.known:
                 other.append(word)
-        todo = list(plain)
-        for at in range(0, len(todo), JOINED):
-            some = todo[at:at + JOINED]
-            ids = np.array(self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, self.dtype)
-            ends = np.cumsum(self.lengths[ids])
-            wanted = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in some])
-            cuts = np.searchsorted(ends, wanted) + 1
-            if not np.array_equal(ends[cuts - 1], wanted):
-                raise ValueError("a token crosses a segment's border")
-            start = 0
-            for word, cut in zip(some, cuts):
-                self.known[word] = ids[start:cut].tobytes()
-                start = cut
-        for word, found in zip(other, self.library.encode_batch_fast([" " + w for w in other], add_special_tokens=False)):
+        for lead, bare in plain.items():
+            self._learn_joined(lead, list(bare))
+        full = [w if w[:1] == "\n" else " " + w for w in other]
+        for word, found in zip(other, self.library.encode_batch_fast(full, add_special_tokens=False)):
             self.known[word] = self._packed(found.ids)
         marks: dict[str, bytes] = {}
-        for word, core in tails.items():
-            tail = word[len(core):]
+        for word, core, tail in tails:
             if tail not in marks:
                 marks[tail] = self._packed(self.library.encode(tail, add_special_tokens=False).ids)
             self.known[word] = self.known[core] + marks[tail]
 
+    def _learn_joined(self, lead: str, words: list[str]) -> None:
+        key = lead.strip(" ")
+        for at in range(0, len(words), JOINED):
+            some = words[at:at + JOINED]
+            ids = np.array(self.library.encode_batch_fast([lead + lead.join(some)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.cumsum(self.lengths[ids])
+            wanted = np.cumsum([len(w) if w.isascii() else len(w.encode("utf-8", "surrogatepass")) for w in some]) + np.arange(1, len(some) + 1)
+            cuts = np.searchsorted(ends, wanted) + 1
+            if not np.array_equal(ends[cuts - 1], wanted):
+                raise ValueError("a token crosses a segment's border")
+            data, width = ids.tobytes(), self.dtype.itemsize
+            stops = (cuts * width).tolist()
+            for word, start, stop in zip(some, [0, *stops], stops):
+                self.known[key + word] = data[start:stop]
+
+
+def _slices(text: str) -> Iterator[tuple[str, bool]]:
+    """Parts of at most about SLICE characters, cut where a segment starts; whether a part is the first."""
+    at = 0
+    while at < len(text):
+        end = len(text)
+        if end - at > SLICE and (cut := CUT(text, at + SLICE)):
+            end = cut.start()
+        yield text[at:end], at == 0
+        at = end
+
+
+def _words(part: str, at_start: bool) -> tuple[str, list[str], dict[int, str]]:
+    """First segment of a text, keys of the others, and segments that no key stands for, by place."""
+    apart = {}
+    if MIXED(part):
+        words = SEGMENTS(part)
+        first = words.pop(0) if at_start else ""
+        for place, word in enumerate(words):
+            if word[:1] == " ":
+                words[place] = word[1:]
+                if word[:2] == " \n":
+                    apart[place], words[place] = word, "."
+    else:
+        words = part.replace("\n", " \n").split(" ")
+        first = words.pop(0)
+    return first, words, apart
+
 
 def packed(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes (four two-bit lengths each) and the ranks' bytes without leading zeros."""
@@ -237,10 +264,8 @@ def encoded(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
         for batch in batches:
             for low in range(0, batch.num_rows, 64):
                 some = batch.slice(low, 64)
-                ids = []
-                for text in some["text"]:
-                    found = encoder.ids(text.as_py())
-                    ids.append(np.append(found, encoder.dtype.type(END)).tobytes())
+                end = np.array([END], encoder.dtype).tobytes()
+                ids = [found.tobytes() + end for found in encoder.all_ids(some["text"].to_pylist())]
                 n = some.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, part)), pa.array(np.arange(at, at + n)), some["doc_id"],
