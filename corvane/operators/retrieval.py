@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as ST
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corvane.functions import text as T
-from corvane.session import cut
 
 
 def sentences_of(
@@ -173,60 +175,67 @@ def answer_limit(answers: DataFrame, max_answers: int = 5, rerank: bool = False)
 
 def rank_sentences(
     sentences: DataFrame, stop_words: Sequence[str], key: str = "entry_id",
-    iterations: int = 20, damping: float = 0.85, cut_every: int = 5,
+    iterations: int = 20, damping: float = 0.85,
 ) -> DataFrame:
     """Weighted PageRank of a text's sentences: (key, pos, n, score).
 
     Two sentences are linked by the number of distinct content tokens they share. The
-    sums run over the sentence-token table (token totals, then sentence totals), which
-    equals summing over all sentence pairs without forming them.
+    sums run over the text's (sentence, token) pairs (token totals, then sentence totals), which
+    equals summing over all sentence pairs without forming them. A text's sentences are brought
+    together once, and all rounds run on its numbers; texts are read from the sorted
+    partition one after the other, so a task holds one text at a time.
     """
+    words = F.array_distinct(T.content_tokens("sentence", stop_words))
     base = sentences.select(
-        key, "pos", F.array_distinct(T.content_tokens("sentence", stop_words)).alias("_t")
-    )
-    sizes = base.groupBy(key).agg(F.count("*").alias("n"))
-    links = cut(base.select(key, "pos", F.explode("_t").alias("token")))
-    frequency = links.groupBy(key, "token").agg(F.count("*").alias("f"))
-    weight = (
-        links.join(frequency, [key, "token"])
-        .groupBy(key, "pos")
-        .agg(F.sum(F.col("f") - 1).alias("w"), F.count("*").alias("t"))
-    )
-    state = (
-        base.select(key, "pos")
-        .join(sizes, key)
-        .join(weight, [key, "pos"], "left")
-        .select(
-            key, "pos", "n", F.coalesce("w", F.lit(0)).alias("w"),
-            F.coalesce("t", F.lit(0)).alias("t"), (F.lit(1.0) / F.col("n")).alias("score"),
-        )
-    )
-    state = cut(state)
-    for step in range(1, iterations + 1):
-        share = F.when(F.col("w") > 0, F.col("score") / F.col("w")).otherwise(0.0)
-        out = state.select(key, "pos", share.alias("share"))
-        spread = links.join(out, [key, "pos"])
-        by_token = spread.groupBy(key, "token").agg(F.sum("share").alias("total"))
-        received = (
-            links.join(by_token, [key, "token"])
-            .groupBy(key, "pos")
-            .agg(F.sum("total").alias("all_in"))
-        )
-        state = (
-            state.join(received, [key, "pos"], "left")
-            .withColumn("_share", share)
-            .select(
-                key, "pos", "n", "w", "t",
-                (
-                    F.lit(1 - damping) / F.col("n")
-                    + F.lit(damping)
-                    * (F.coalesce("all_in", F.lit(0.0)) - F.col("t") * F.col("_share"))
-                ).alias("score"),
-            )
-        )
-        if step % cut_every == 0 and step < iterations:
-            state = cut(state)
-    return state.select(key, "pos", "n", "score")
+        F.col(key).alias("key"), F.col("pos").cast("bigint").alias("pos"), F.transform(words, lambda t: F.xxhash64(t)).alias("tokens"),
+    ).repartition("key").sortWithinPartitions("key", "pos")
+    schema = ST.StructType([
+        base.schema["key"], *ST.StructType.fromDDL("pos bigint, n bigint, score double").fields])
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, pos, tokens in _texts(batches):
+            size = np.array([len(t) for t in tokens])
+            rows = np.repeat(np.arange(len(pos)), size)
+            _, column = np.unique(np.concatenate(tokens), return_inverse=True)
+            score = _page_rank(rows, column, len(pos), iterations, damping)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(pos), key_type), pa.array(pos, pa.int64()), pa.array([len(pos)] * len(pos), pa.int64()),
+                 pa.array(score)], schema.names)
+
+    key_type = to_arrow_type(base.schema["key"].dataType)
+    return base.mapInArrow(rank, schema).withColumnRenamed("key", key)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, list[int], list[np.ndarray]]]:
+    """Key, positions and token lists of one text after the other; equal keys lie together."""
+    name, pos, tokens = None, [], []
+    for batch in batches:
+        keys, places, lists = (batch[c] for c in ("key", "pos", "tokens"))
+        for at, key in enumerate(keys.to_pylist()):
+            if pos and key != name:
+                yield name, pos, tokens
+                pos, tokens = [], []
+            name = key
+            pos.append(places[at].as_py())
+            words = lists[at].values
+            tokens.append(np.zeros(0, np.int64) if words is None else words.to_numpy(zero_copy_only=False))
+    if pos:
+        yield name, pos, tokens
+
+
+def _page_rank(rows: np.ndarray, column: np.ndarray, n: int, iterations: int, damping: float) -> np.ndarray:
+    """Scores from the pairs (sentence, token); a sentence is not linked to itself."""
+    kinds = int(column.max()) + 1 if len(column) else 0
+    shared = np.bincount(column, minlength=kinds) - 1
+    weight = np.bincount(rows, shared[column], minlength=n)
+    own = np.bincount(rows, minlength=n)
+    score = np.full(n, 1.0 / n)
+    for _ in range(iterations):
+        share = np.divide(score, weight, out=np.zeros(n), where=weight > 0)
+        token = np.bincount(column, share[rows], minlength=kinds)
+        received = np.bincount(rows, token[column], minlength=n)
+        score = (1 - damping) / n + damping * (received - own * share)
+    return score
 
 
 def summarize_extractive(

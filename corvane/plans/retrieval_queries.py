@@ -310,7 +310,7 @@ FROM z JOIN b USING (entry_id, pos) WHERE r <= ceil(z.n * 0.5::DOUBLE) GROUP BY
     return "WITH " + ",\n".join(parts)
 
 
-@query("g7_summarize_extractive", _rank_sql(3), "sentences")
+@query("g7_summarize_extractive", _rank_sql(20), "sentences")
 def summarize_extractive(spark, sf):
     sentences = fx.sentences(spark, sf).select("entry_id", "pos", "sentence")
-    return retrieval.summarize_extractive(sentences, STOP_WORDS, iterations=3)
+    return retrieval.summarize_extractive(sentences, STOP_WORDS)

@@ -231,13 +231,15 @@ def vocab_save_load(spark, sf):
 
 
 @query("a16_token_dataset_write", """
-SELECT id, array_to_string(ids[1:64], ',') AS ids, 'second' AS read_from FROM encoded""", "encoded")
+SELECT id, array_to_string(ids, ',') AS ids, 'second' AS read_from FROM encoded""", "encoded")
 def token_dataset_write(spark, sf):
     docs = fx.table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
     vocab = cut(tokens.vocab_topn(docs, 5000))
     encoded = tokens.encode(docs.select("id", T.word_tokens("text").alias("tokens")), vocab)
-    samples = encoded.select("id", A.joined(F.slice("ids", 1, 64)).alias("ids"))
-    mark = store.dataset_fingerprint(docs, "id", "text").first()["fingerprint"]
+    samples = encoded.select("id", A.joined(F.col("ids")).alias("ids"))
+    content = store.dataset_fingerprint(docs, "id", "text").first()["fingerprint"]
+    words = store.dataset_fingerprint(vocab, "id", "token").first()["fingerprint"]
+    mark = f"{content}-{words}"
     path = scratch_path(spark, "tokens")
     store.write_tokens(samples, path, mark)
     kept, fresh = store.write_tokens(samples, path, mark)

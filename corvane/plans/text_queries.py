@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import arrays as A, text as T
 from corvane.functions.lexicons import EXPLAIN_WORDS, STOP_WORDS
-from corvane.operators import ngrams, quality, retrieval, store, tokens
+from corvane.operators import bpe, ngrams, quality, retrieval, store, tokens
 from corvane.plans import fixtures as fx, oracle as O
 from corvane.plans.registry import query
 from corvane.session import cut
@@ -145,16 +145,15 @@ def shift_targets(spark, sf):
 
 
 @query("b12_sliding_windows", """
-WITH n AS (SELECT id, ids, (greatest(len(ids) - 16, 0) // 8 * 8)::BIGINT AS n FROM encoded)
-SELECT id, pos, array_to_string(ids[pos + 1:pos + 16], ',') AS inputs,
-  array_to_string(ids[pos + 2:pos + 17], ',') AS targets
-FROM (SELECT id, ids, unnest(range(n)) AS pos FROM n)""", "encoded")
+WITH u AS (SELECT id, unnest(range(len(ids))) AS p, unnest(ids) AS t FROM encoded),
+o AS (SELECT row_number() OVER (ORDER BY id, p) - 1 AS pos, t FROM u),
+w AS (SELECT pos, list(t) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND 16 FOLLOWING) AS w FROM o),
+c AS (SELECT greatest(count(*) - 16, 0) // 8 * 8 AS n FROM o)
+SELECT pos, array_to_string(w[1:16], ',') AS inputs, array_to_string(w[2:17], ',') AS targets
+FROM w, c WHERE pos < n""", "encoded")
 def sliding_windows(spark, sf):
-    return _encoded(spark, sf).select(
-        "id", F.explode(A.sliding_windows(F.col("ids"), 16, batch=8)).alias("w")
-    ).select(
-        "id", F.col("w.pos").cast("bigint").alias("pos"),
-        A.joined(F.col("w.inputs")).alias("inputs"), A.joined(F.col("w.targets")).alias("targets"),
+    return tokens.corpus_windows(_encoded(spark, sf), 16, batch=8).select(
+        "pos", A.joined(F.col("inputs")).alias("inputs"), A.joined(F.col("targets")).alias("targets"),
     )
 
 
@@ -297,12 +296,20 @@ s{i + 1} AS MATERIALIZED (SELECT replace(sym, ' ' || a || '  ' || b || ' ', ' '
     return "WITH " + ",\n".join(parts) + "\n" + union
 
 
-@query("f11_bpe_train", _bpe_sql(6))
+BPE_VOCABULARY = 20_000
+MERGES = "rank bigint, left_part string, right_part string, freq bigint"
+
+
+@query("f11_bpe_train")
 def bpe_train(spark, sf):
-    merges = tokens.bpe_train(fx.table(spark, sf, "documents"), 6)
-    return spark.createDataFrame(
-        merges, "rank bigint, left_part string, right_part string, freq bigint"
-    )
+    merges = bpe.bpe_train(fx.table(spark, sf, "documents"), vocab_size=BPE_VOCABULARY)
+    return spark.createDataFrame(merges, MERGES)
+
+
+@query("f11_bpe_first_merges", _bpe_sql(6))
+def bpe_first_merges(spark, sf):
+    """A report of the six best merges."""
+    return spark.createDataFrame(bpe.bpe_train(fx.table(spark, sf, "documents"), 6), MERGES)
 
 
 @query("g19_train_val_split", "SELECT id, split FROM split", "split")

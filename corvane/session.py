@@ -62,3 +62,24 @@ def cut(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path for an intermediate table below the shared folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+#: Spark's own setting: the shuffle files of a query go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back.
+
+    It ends the lineage like :func:`cut`, in columns that can be pruned and compressed, and the
+    shuffle files behind it go with the write.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

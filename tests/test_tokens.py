@@ -64,51 +64,6 @@ def test_split_size_and_independence_of_partitions(spark, n, want):
     assert a == b and Counter(a.values())["train"] == want
 
 
-def slow_bpe(texts, merges):
-    words = Counter(w for t in texts for w in re.findall(r"\w+|[^\w\s]+", t))
-    words = {tuple(w): n for w, n in words.items()}
-    out = []
-    for _ in range(merges):
-        pairs = Counter()
-        for w, n in words.items():
-            for p in zip(w, w[1:]):
-                pairs[p] += n
-        if not pairs:
-            break
-        best = min(pairs, key=lambda p: (-pairs[p], p))
-        out.append((*best, pairs[best]))
-        fresh = Counter()
-        for w, n in words.items():
-            new, i = [], 0
-            while i < len(w):
-                if w[i:i + 2] == best:
-                    new.append(w[i] + w[i + 1])
-                    i += 2
-                else:
-                    new.append(w[i])
-                    i += 1
-            fresh[tuple(new)] += n
-        words = fresh
-    return out
-
-
-def test_bpe_equals_plain_python(spark):
-    texts = ["aaaa abab ababab | a|b ||", "banana bandana", "low lower lowest"]
-    got = [tuple(x[1:]) for x in tokens.bpe_train(docs(spark, texts), 12, cut_every=5)]
-    assert got == slow_bpe(texts, 12)
-
-
-def test_bpe_vocab_starts_with_specials(spark):
-    got = [r["token"] for r in tokens.bpe_vocab(docs(spark, ["ab ab abc"]), 10).orderBy("id").collect()]
-    assert got[:5] == ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
-    assert got[5:] == ["a", "b", "c", "ab", "abc"]
-
-
-def test_bpe_vocab_must_hold_the_alphabet(spark):
-    with pytest.raises(ValueError):
-        tokens.bpe_vocab(docs(spark, ["abcdef"]), 8)
-
-
 def test_markov_counts_equal_plain_python(spark):
     texts = SENTENCES + ["abc", "naïve 😀😀😀😀 ça"]
     want = Counter((t[i:i + 3], t[i + 3]) for t in texts for i in range(len(t) - 3))
@@ -167,3 +122,15 @@ def test_penalty_mask_and_greedy(spark):
     assert decoding.min_length_mask(df, length, 2, 4).count() == 2
     assert decoding.min_length_mask(df, length, 2, 3).count() == 3
     assert decoding.greedy_next(df).first()["token_id"] == 0
+
+
+@pytest.mark.parametrize("batch", [None, 1, 8])
+@pytest.mark.parametrize("sizes", [[], [3], [0, 2, 9, 0, 1, 40, 5], [1] * 30])
+def test_corpus_windows_cross_sequences_and_chunks(spark, sizes, batch):
+    rows = [(i, [100 * i + k for k in range(n)]) for i, n in enumerate(sizes)] + [(99, None)]
+    df = spark.createDataFrame(rows, "id long, ids array<int>").repartition(3)
+    flat = [x for _, r in rows for x in r or []]
+    count = max(len(flat) - 4, 0)
+    count = count if batch is None else count // batch * batch
+    got = sorted(map(tuple, tokens.corpus_windows(df, 4, batch, chunk=7).collect()))
+    assert got == [(i, flat[i:i + 4], flat[i + 1:i + 5]) for i in range(count)]
