@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
 import pyarrow as pa
@@ -16,6 +17,7 @@ from corvane.session import scratch_path
 
 CHUNK = 1 << 16
 LEAST_REVISIT = 100
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FIELDS = {"WARC-Page-ID": "page_id", "WARC-Type": "record_type", "WARC-Refers-To-Page": "refers_to",
           "WARC-Payload-Digest": "declared", "WARC-Payload-Length": "payload_bytes", "WARC-Target-URI": "url"}
 CHUNK_SCHEMA = ("page_id bigint, record_type string, refers_to bigint, declared string, payload_bytes bigint, "
@@ -37,21 +39,32 @@ def records(pages: DataFrame, id_col: str, payload_col: str, url_col: str | None
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("page_id"),
         (F.col(url_col) if url_col else F.lit("")).alias("url"), payload.alias("payload"),
         F.length(payload).cast("bigint").alias("payload_bytes"), F.sha2(payload, 256).alias("digest"))
-    first = base.filter(F.col("payload_bytes") >= LEAST_REVISIT).groupBy("digest").agg(
-        F.min("page_id").alias("first")).select(F.col("digest").alias("of"), "first")
-    later = F.coalesce(F.col("first") < F.col("page_id"), F.lit(False))
+    # digests of one record only need no row here; the payload itself is joined once
+    first = base.filter((F.col("payload_bytes") >= LEAST_REVISIT) & F.col("page_id").isNotNull()).groupBy("digest").agg(
+        F.min(F.struct("page_id", "row")).alias("first"), F.count("*").alias("records")).filter("records > 1").select(
+        F.col("digest").alias("of"), "first")
+    later = F.coalesce(F.col("first.page_id") < F.col("page_id"), F.lit(False))
     return base.join(first, F.when(F.col("payload_bytes") >= LEAST_REVISIT, F.col("digest")) == F.col("of"), "left").select(
-        "row", "page_id", "url", "payload_bytes", "digest", F.when(later, F.col("first")).alias("refers_to"),
+        "row", "page_id", "url", "payload_bytes", "digest", F.when(later, F.col("first.page_id")).alias("refers_to"),
+        F.when(later, F.col("first.row")).alias("refers_to_row"),
         F.when(later, F.lit(b"")).otherwise(F.col("payload")).alias("payload"))
 
 
+def _record_id(page_id: int | None, row: int) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, str((page_id, row)))}>"
+
+
 def write_archives(
     pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html", url_col: str | None = "url",
+    date: str | None = None, content_type: str = "text/html; charset=utf-8",
 ) -> DataFrame:
     """Write a WARC record per row below ``path``; returns the written files (file, records, bytes).
 
-    Payloads are cut into rows (record, chunk number, bytes) of at most 64 KiB before anything is
-    shuffled or handed to Python. Rows of a record stay in order, so a task streams them into its
+    ``date`` (now, if not given) and ``content_type`` go into every record; a revisit names its
+    profile and the record it refers to.
+
+    Payloads are cut into rows (record, chunk number, bytes) of at most 64 KiB where the records
+    lie, before Python gets them. Rows of a record stay together and in order, so a task streams them into its
     archive, updating the digest chunk by chunk and checking it against the declared one. Of
     records with equal payloads of at least 100 bytes the smallest page_id is the response, the
     others are revisits without payload. A file has a name of its own per attempt, and only the
@@ -61,13 +74,13 @@ def write_archives(
     responses with an empty id; names with line breaks in the address are cut to one line.
     """
     rows = records(pages, id_col, payload_col, url_col)
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     last = F.greatest(F.lit(0), F.floor((F.length("payload") - 1) / CHUNK)).cast("int")
     chunks = (
         rows.withColumn("last", last).withColumn("chunk_no", F.explode(F.sequence(F.lit(0), F.col("last"))))
-        .select("row", "page_id", "url", "payload_bytes", "digest", "refers_to", "chunk_no", "last",
+        .select("row", "page_id", "url", "payload_bytes", "digest", "refers_to", "refers_to_row", "chunk_no", "last",
                 F.length("payload").alias("stored"),
                 F.expr(f"substring(payload, chunk_no * {CHUNK} + 1, {CHUNK})").alias("bytes"))
-        .repartition("row").sortWithinPartitions("row", "chunk_no")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,11 +96,14 @@ def write_archives(
                     revisit = r["refers_to"] is not None
                     lines = [
                         "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
-                        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, str((r['page_id'], r['row'])))}>",
+                        f"WARC-Record-ID: {_record_id(r['page_id'], r['row'])}", f"WARC-Date: {date}",
                         f"WARC-Target-URI: {' '.join((r['url'] or '').split())}",
                         f"WARC-Page-ID: {'' if r['page_id'] is None else r['page_id']}",
                         f"WARC-Payload-Digest: sha256:{r['digest']}", f"WARC-Payload-Length: {r['payload_bytes']}",
-                        *([f"WARC-Refers-To-Page: {r['refers_to']}"] if revisit else []),
+                        *([f"WARC-Refers-To-Page: {r['refers_to']}",
+                           f"WARC-Refers-To: {_record_id(r['refers_to'], r['refers_to_row'])}",
+                           f"WARC-Profile: {PROFILE}"] if revisit else []),
+                        f"Content-Type: {content_type}",
                         f"Content-Length: {r['stored']}", "", ""]
                     out.write("\r\n".join(lines).encode())
                 out.write(r["bytes"])
@@ -117,7 +133,7 @@ def read_archives(files: DataFrame, path: str, with_bytes: bool = True) -> DataF
                 with system.open_input_stream(name) as stream:
                     yield from _table(_chunks(stream, with_bytes))
 
-    return files.select("file").repartition(F.col("file")).mapInPandas(read, CHUNK_SCHEMA)
+    return files.select("file").repartition(max(1, files.count()), "file").mapInPandas(read, CHUNK_SCHEMA)
 
 
 class _Lines:
