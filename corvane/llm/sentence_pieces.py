@@ -117,6 +117,12 @@ class Pieces(dict):
             self[segment] = result
         return result
 
+    def free(self) -> None:
+        """Forget what was met in the texts: workers live on between tasks."""
+        self.clear()
+        self.machine.reset()
+        self.merger._pairs.clear()
+
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
@@ -147,6 +153,7 @@ def _mapped(docs: DataFrame, model: str, text_col: str, name: str, back: str | N
             ids = pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int32))
             texts = [pa.array(map(model_pieces.decode, lists), pa.string())] if back else []
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, *texts], schema=target)
+        model_pieces.free()
 
     kept = docs.drop(name, *([back] if back else []))
     more = [(name, pa.list_(pa.int32())), *([(back, pa.string())] if back else [])]

@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from corvane.llm.common import held_out, whole, with_whole
+from corvane.llm.common import held_out, parts, whole, with_whole
 from corvane.session import cut
 
 SAMPLE = 8_000
@@ -301,7 +301,7 @@ def with_score(
     """
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, float] = {}
-        for batch in batches:
+        for batch in parts(batches):
             margin = np.array(model.document_margins(batch.column(batch.num_columns - 1).to_pylist(), memo))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(model.probability(margin), pa.float64())],
