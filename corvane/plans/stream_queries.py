@@ -8,7 +8,7 @@ from corvane.plans import fixtures as fx, oracle as O
 from corvane.plans.registry import query
 from corvane.plans.store_queries import _text_folder
 from corvane.session import scratch_path
-from corvane.streaming import activity as S, ingest
+from corvane.streaming import activity as S, ingest, keyed
 
 DELAY = "60 days"  # longer than the data, so that no row counts as late
 
@@ -107,3 +107,62 @@ def stream_dedup(spark, sf):
     )
     S.run_available(S.drop_duplicates(stream, "content").select("content_md5"), path)
     return S.appended_result(spark, path)
+
+
+SHORT = "6 hours"
+SLICES = 4
+
+
+def _timed_stream(spark, sf):
+    """The events as files in the order of time, one file a batch, with a short watermark."""
+    folder = scratch_path(spark, "events")
+    events = fx.table(spark, sf, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.select(at.alias("us")).approxQuantile("us", [i / SLICES for i in range(1, SLICES)], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        kept = F.lit(True) if low is None else at > int(low)
+        kept = kept if high is None else kept & (at <= int(high))
+        events.filter(kept).write.mode("append").parquet(folder)
+    stream = S.read_stream(spark, folder, "*.parquet", files_per_trigger=1)
+    return S.with_event_time(fx.as_activity(stream), delay=SHORT)
+
+
+CEILINGS = {"click": (86400, 2), "view": (43200, 1), "*": (86400, 5)}
+
+
+def _moving(action: str, seconds: int, most: int) -> str:
+    kept = "TRUE" if action == "*" else f"event_type = '{action}'"
+    return f"""SELECT user_id, '{action}' AS action, event_id, ts, n FROM (
+SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL {seconds * 1_000_000 - 1} MICROSECONDS PRECEDING
+  AND CURRENT ROW) AS n FROM events WHERE {kept}) WHERE n > {most}"""
+
+
+PASSED = "epoch_ms({0}) < (SELECT epoch_ms(max(ts)) FROM events) - 21600000"
+
+
+@query("i3_rate_limit_moving", f"""
+SELECT user_id, action, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, n
+FROM ({' UNION ALL '.join(_moving(a, *r) for a, r in CEILINGS.items())}) WHERE {PASSED.format('ts')}""")
+def rate_limit_moving(spark, sf):
+    path = scratch_path(spark, "limits")
+    S.run_available(keyed.moving_breaches(_timed_stream(spark, sf), CEILINGS), path)
+    return S.appended_result(spark, path).withColumn("ts", _minute("ts"))
+
+
+@query("i4_collab_rooms", f"""
+WITH e AS (SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS entry_id, user_id, event_id, ts, event_type AS action FROM events),
+g AS (SELECT *, CASE WHEN lag(action) OVER w = 'error' OR epoch_us(ts) - lag(epoch_us(ts)) OVER w >= 28800000000 THEN 1 ELSE 0 END AS new
+  FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+c AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g),
+z AS (SELECT user_id, k, max(ts) AS last, bool_or(action = 'error') AS gone FROM c GROUP BY user_id, k),
+r AS (SELECT entry_id, user_id, k, min(ts) AS start, count(*) AS joins FROM c WHERE action = 'signup' GROUP BY ALL),
+s AS (SELECT entry_id, user_id, start, CASE WHEN gone THEN last ELSE last + INTERVAL 8 HOURS END AS stop, joins,
+  CASE WHEN gone THEN 'leave' ELSE 'timeout' END AS ended_by FROM r JOIN z USING (user_id, k))
+SELECT entry_id, user_id, strftime(start, '%Y-%m-%d %H:%M:%S') AS session_start,
+  strftime(stop, '%Y-%m-%d %H:%M:%S') AS session_end, joins, ended_by FROM s WHERE {PASSED.format('stop')}""")
+def collab_rooms(spark, sf):
+    """A sign-up stands for joining an entry's room, an error for the end of the connection."""
+    path = scratch_path(spark, "rooms")
+    S.run_available(keyed.room_sessions(_timed_stream(spark, sf), "signup", "error", 8 * 3600), path)
+    return S.appended_result(spark, path).withColumn("session_start", _minute("session_start")).withColumn(
+        "session_end", _minute("session_end"))
