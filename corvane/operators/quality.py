@@ -126,9 +126,11 @@ def entity_mentions(
 ) -> DataFrame:
     """One row per mention: (id, pos, text, text_lc, label).
 
-    Names come from ``kb(text_lc, type)``; capitalised runs get the label ``MISC``.
-    The kb join is a plain equi-join, so adaptive execution broadcasts a small kb by its
-    measured size and splits skewed names of a large one.
+    Names of any number of words come from ``kb(text_lc, type)``; capitalised runs get the label
+    ``MISC``. Every place where a name stands is a mention, also inside a longer name. The kb joins
+    are plain equi-joins, so adaptive execution broadcasts a small kb by its measured size and
+    splits skewed names of a large one. A name of more than three words is looked up by its
+    runs of three words (:func:`_long_names`).
     """
     body = F.col(content)
     if head_chars is not None:
@@ -142,9 +144,10 @@ def entity_mentions(
             for n in (1, 2, 3)
         ],
     )
-    named = grams.join(
-        kb.select("text_lc", F.col("type").alias("label")).distinct(), "text_lc"
-    ).select("id", "pos", F.col("text_lc").alias("text"), "text_lc", "label")
+    listed = kb.select("text_lc", F.col("type").alias("label")).distinct()
+    places = grams.join(listed.select("text_lc").distinct(), "text_lc", "left_semi").unionByName(
+        _long_names(tokens, listed.select("text_lc").distinct()))
+    named = places.join(listed, "text_lc").select("id", "pos", F.col("text_lc").alias("text"), "text_lc", "label")
     runs = base.select(
         "id",
         F.posexplode(
@@ -154,6 +157,25 @@ def entity_mentions(
     return named.unionByName(runs)
 
 
+def _long_names(tokens: DataFrame, names: DataFrame) -> DataFrame:
+    """(id, pos, text_lc): where names of more than three words stand in ``tokens(id, _t)``.
+
+    A name is covered by its runs of three words at every third place and at its end. A
+    run found at a place votes for the name's start; a start with all votes is a mention. A text's
+    run of three words is a row only where some name has it, and no row holds a text.
+    """
+    words = F.split("text_lc", " ")
+    last = F.size(words) - 3
+    offsets = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(3)), F.array(last)))
+    parts = names.filter(F.size(words) > 3).select(
+        "text_lc", F.size(offsets).alias("votes"), F.explode(offsets).alias("offset")
+    ).withColumn("run", F.array_join(F.slice(words, F.col("offset") + 1, F.lit(3)), " "))
+    runs = tokens.select("id", F.posexplode(T.ngrams(F.col("_t"), 3)).alias("at", "run"))
+    found = runs.join(parts, "run").groupBy("id", (F.col("at") - F.col("offset")).alias("pos"), "text_lc").agg(
+        F.count("*").alias("found"), F.max("votes").alias("votes"))
+    return found.filter(F.col("found") == F.col("votes")).select("id", "pos", "text_lc")
+
+
 def type_in_list(mentions: DataFrame, types: Sequence[str] = tuple(KB_TYPES)) -> DataFrame:
     return mentions.filter(F.col("label").isin(list(types)))
 

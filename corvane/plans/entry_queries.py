@@ -68,6 +68,25 @@ def entity_mentions(spark, sf):
     return _mentions(spark, sf).select("id", F.col("pos").cast("bigint").alias("pos"), "text", "label")
 
 
+LONG = (4, 5, 7, 12)
+
+
+@query("d5_long_names", f"""
+WITH b AS (SELECT {O.letters('text')} AS t FROM benchmark),
+k AS ({" UNION ".join(f"SELECT array_to_string(t[1:{n}], ' ') AS text FROM b WHERE len(t) >= {n}" for n in LONG)}),
+e AS MATERIALIZED (SELECT id, {O.letters('content')} AS t FROM raw_entries),
+g AS ({" UNION ALL ".join(f"SELECT id, unnest(range(len({O.grams('t', n)}))) AS pos, unnest({O.grams('t', n)}) AS text FROM e" for n in LONG)})
+SELECT id, pos, text FROM g JOIN k USING (text)""", "raw_entries")
+def long_names(spark, sf):
+    """The first 4, 5, 7 and 12 words of the benchmark's items, as names."""
+    words = T.letter_tokens("text")
+    names = fx.table(spark, sf, "benchmark").select(words.alias("w")).select(
+        "w", F.explode(F.array(*map(F.lit, LONG))).alias("n")).filter(F.size("w") >= F.col("n")).select(
+        F.array_join(F.slice("w", F.lit(1), F.col("n")), " ").alias("text_lc"), F.lit("WORK").alias("type")).distinct()
+    found = quality.entity_mentions(fx.normal_entries(spark, sf), names).filter("label = 'WORK'")
+    return found.select("id", F.col("pos").cast("bigint").alias("pos"), "text")
+
+
 @query("c7_type_in_list", """
 SELECT id, text, label FROM mentions WHERE label IN ('GPE', 'PERSON', 'ORG', 'FAC')""", "mentions")
 def type_in_list(spark, sf):
