@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corvane.functions.lexicons import INTENTS
-from corvane.functions.ordering import with_group_carry
+from corvane.functions.ordering import with_group_carry, with_running_total
 
 
 def count_by_type(entries: DataFrame) -> DataFrame:
@@ -82,14 +82,22 @@ def intent_stats(questions: DataFrame) -> DataFrame:
 
 
 def latency_stats(questions: DataFrame) -> DataFrame:
-    """One row: average, approximate median and maximum latency, average answers."""
+    """One row: average, median (the lower of two middle values) and maximum latency, average answers.
+
+    The median is exact: questions are counted per latency first, and a running total over the
+    sorted distinct latencies finds the middle. Null latencies are left out of it.
+    """
+    counts = questions.filter(F.col("latency").isNotNull()).groupBy("latency").agg(F.count("*").alias("_n"))
+    placed = with_running_total(counts, "_n", F.col("latency"), name="_before")
+    total = placed.agg(F.sum("_n").alias("n")).select("n").scalar()
+    middle = placed.filter((F.col("_before") + F.col("_n")) * 2 >= total).agg(F.min("latency").alias("m"))
     return questions.agg(
         F.count("*").alias("questions"),
         F.round(F.avg("latency"), 6).alias("avg_latency"),
-        F.percentile_approx("latency", 0.5, 10000).alias("median_latency"),
         F.max("latency").alias("max_latency"),
         F.round(F.avg("answers"), 6).alias("avg_answers"),
-    )
+    ).select(
+        "questions", "avg_latency", middle.select("m").scalar().alias("median_latency"), "max_latency", "avg_answers")
 
 
 def corpus_stats(df: DataFrame, suffix: str, length: str, min_chars: int) -> DataFrame:

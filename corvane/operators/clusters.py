@@ -64,17 +64,17 @@ def similarity_edges(
 
 
 def connected_components(
-    nodes: DataFrame, edges: DataFrame, id_col: str = "id", max_rounds: int = 100
+    nodes: DataFrame, edges: DataFrame, id_col: str = "id",
 ) -> DataFrame:
     """(id, component) with the smallest id of the component as its label.
 
     Each round takes the smallest neighbour label, then follows labels one step, so long
-    chains shorten quickly. Labels are checkpointed per round.
+    chains shorten quickly; it ends when no label changes. Labels are checkpointed per round.
     """
     both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
     both = cut(both)
     labels = cut(nodes.select(F.col(id_col).alias("id"), F.col(id_col).alias("component")))
-    for _ in range(max_rounds):
+    while True:
         near = (
             both.join(labels, both["b"] == labels["id"])
             .groupBy("a")
@@ -94,7 +94,6 @@ def connected_components(
         labels = jumped.select("id", "component")
         if not moved:
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def cluster_vectors(

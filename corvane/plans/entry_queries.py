@@ -9,6 +9,7 @@ from corvane.functions.lexicons import EXPLAIN_WORDS, INTENTS, STOP_WORDS
 from corvane.operators import analytics, anomalies, listing, quality
 from corvane.plans import fixtures as fx, oracle as O
 from corvane.plans.registry import query
+from corvane.session import saved
 
 LISTED = """id, data_type AS type, source,
   CASE WHEN validated THEN 'validated' ELSE 'needs_validation' END AS status,
@@ -121,9 +122,14 @@ def anomaly_iforest(spark, sf):
     return anomalies.anomaly_iforest(fx.entries(spark, sf))
 
 
+def _validated_once(spark, sf):
+    """Validated entries without their content, written, for queries that read them more than once."""
+    return saved(fx.entries(spark, sf).drop("content"), "entries")
+
+
 @query("d8_anomaly_tail", "SELECT id, distance FROM flagged", "flagged")
 def anomaly_tail(spark, sf):
-    return anomalies.anomaly_tail(fx.entries(spark, sf))
+    return anomalies.anomaly_tail(_validated_once(spark, sf))
 
 
 @query("d9_kb_update", """
@@ -138,7 +144,7 @@ def kb_update(spark, sf):
 
 
 def _listed(spark, sf):
-    entries = fx.entries(spark, sf)
+    entries = saved(fx.entries(spark, sf), "entries")
     return listing.mark_anomalies(entries, anomalies.anomaly_tail(entries))
 
 
@@ -214,7 +220,7 @@ b AS (SELECT least(floor((quality_score - lo) / w), 19)::BIGINT AS bin, count(*)
 SELECT r.range AS bin, round(lo + r.range * w, 6) AS low, round(lo + (r.range + 1) * w, 6) AS high,
   coalesce(c, 0) AS entries FROM range(20) r CROSS JOIN m LEFT JOIN b ON b.bin = r.range""", "entries")
 def quality_histogram(spark, sf):
-    return analytics.quality_histogram(fx.entries(spark, sf))
+    return analytics.quality_histogram(saved(fx.entries(spark, sf).select("quality_score"), "scores"))
 
 
 TURNS = f"""turns AS (SELECT *, {O.intent('text')} AS intent FROM conversations WHERE role = 'user')"""
@@ -228,7 +234,7 @@ SELECT (SELECT count(*) FROM sentences) AS sentences, count(*) FILTER (validated
   {", ".join(f"(SELECT count(*) FROM turns WHERE intent = '{i}') AS n_{i}" for i in INTENTS)}
 FROM entries""", "entries", "sentences", "flagged", "turns")
 def store_summary(spark, sf):
-    entries = fx.entries(spark, sf)
+    entries = _validated_once(spark, sf)
     asked = fx.user_turns(spark, sf).select(T.detect_intent("text", EXPLAIN_WORDS).alias("intent"))
     return analytics.store_summary(
         entries, fx.sentences(spark, sf), anomalies.anomaly_tail(entries), asked

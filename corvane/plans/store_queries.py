@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import inspect
 import io
+import tempfile
 import zipfile
 
 import pandas as pd
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import arrays as A, text as T
 from corvane.operators import listing, sheets, store, tokens
-from corvane.plans import entry_queries, fixtures as fx, oracle as O
+from corvane.plans import demo_pages, entry_queries, fixtures as fx, oracle as O
 from corvane.plans.registry import query
 from corvane.session import cut, scratch_path
 from corvane.sources import exports, extractors, files
@@ -436,3 +438,28 @@ def register_extractor(spark, sf):
 
     found = extractors.extract(_files(spark, sf), registry)
     return found.filter(F.col("ext") == "pdf").select("path", "status", "metadata")
+
+
+def plugin_archive(folder: str) -> str:
+    """A plugin package as a zip below ``folder`` of the driver; Spark ships it from there."""
+    path = f"{folder}/demo_pages-1.0.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        archive.writestr("demo_pages.py", inspect.getsource(demo_pages))
+        archive.writestr("demo_pages-1.0.dist-info/METADATA", "Metadata-Version: 2.1\nName: demo-pages\nVersion: 1.0\n")
+        archive.writestr("demo_pages-1.0.dist-info/entry_points.txt", f"[{extractors.PLUGIN_GROUP}]\npages = demo_pages:processors\n")
+    return path
+
+
+@query("j2_load_plugins", """
+SELECT page_id, CASE WHEN page_id % 10 <> 0 THEN (length(html) - length(replace(html, '<', '')))::VARCHAR END AS text,
+  CASE WHEN page_id % 10 <> 0 THEN 'ok' ELSE 'error' END AS status FROM pages""")
+def load_plugins(spark, sf):
+    """Every tenth page has an extension whose plugin fails."""
+    registry = extractors.Registry()
+    extractors.ship_package(spark, plugin_archive(tempfile.mkdtemp(prefix="corvane-plugin-")))
+    registry.load_plugins()
+    ext = F.when(F.col("page_id") % 10 != 0, ".page").otherwise(".broken")
+    pages = fx.table(spark, sf, "pages").select(
+        F.concat(F.col("page_id").cast("string"), ext).alias("path"), F.col("html").cast("binary").alias("content"))
+    return extractors.extract(pages, registry).select(
+        F.regexp_extract("path", "^([0-9]+)", 1).cast("bigint").alias("page_id"), "text", "status")

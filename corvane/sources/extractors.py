@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import importlib
 import importlib.metadata
 import io
 import json
 import posixpath
+import sys
 import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corvane.functions import text as T
 from corvane.functions.lexicons import SUPPORTED_EXTENSIONS
 
 # An extractor maps (path, bytes) to (text, metadata); an exception marks the row as failed.
 Extractor = Callable[[str, bytes], tuple[str, dict]]
-PLUGIN_GROUP = "data_processing.plugins"
+PLUGIN_GROUP = "data_processing.plugins"  # fixed value: the entry points' group
 
 
 class Registry:
@@ -52,6 +54,19 @@ class Registry:
         return failed
 
 
+def ship_package(spark: SparkSession, archive: str) -> None:
+    """Make a package archive (a zip with its ``dist-info``) importable here and on the executors.
+
+    Spark sends the archive to every executor, and its entry points are found by ``load_plugins``.
+    A function of the package is pickled by name, so tasks import it from the shipped archive.
+    """
+    spark.sparkContext.addPyFile(archive)
+    if archive not in sys.path:
+        sys.path.insert(0, archive)
+    importlib.invalidate_caches()
+    importlib.metadata.MetadataPathFinder.invalidate_caches()
+
+
 def text_file(path: str, content: bytes) -> tuple[str, dict]:
     return content.decode("utf-8"), {"file_size": len(content)}
 
