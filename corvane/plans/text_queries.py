@@ -103,8 +103,7 @@ SELECT e.id, coalesce(string_agg(CASE WHEN r = 1 OR token IN ('.', ',', '!', '?'
 FROM encoded e LEFT JOIN f USING (id) GROUP BY e.id""", "encoded")
 def decode(spark, sf):
     _, vocab = _vocab(spark, sf)
-    table = tokens.vocab_words(vocab)
-    return _encoded(spark, sf).select("id", tokens.decode(F.col("ids"), table).alias("text"))
+    return tokens.decode(_encoded(spark, sf), vocab).select("id", "text")
 
 
 @query("b9_pad_truncate", """
