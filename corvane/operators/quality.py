@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -15,13 +16,22 @@ from corvane.operators.ngrams import char_grams
 
 
 def gazetteer_hits(tokens: Column, names: Sequence[str]) -> Column:
-    """How many 1-3-grams of the token array are listed names."""
+    """How many 1-3-grams of the token array are listed names.
+
+    Names are looked for in the joined tokens, once per length, so no n-gram is built. A name's words
+    stand in a lookahead: names that overlap all count.
+    """
     by_size: dict[int, list[str]] = {}
     for name in names:
         by_size.setdefault(len(name.split(" ")), []).append(name)
+    text = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
     total = F.lit(0)
     for n, listed in sorted(by_size.items()):
-        total = total + F.size(F.filter(T.ngrams(tokens, n), lambda g: g.isin(listed)))
+        if n == 1:
+            total = total + F.size(F.filter(tokens, lambda t: t.isin(listed)))
+        else:
+            anyone = "|".join(map(re.escape, listed))
+            total = total + F.coalesce(F.regexp_count(text, F.lit(f" (?=(?:{anyone}) )")), F.lit(0))
     return total
 
 
