@@ -113,17 +113,29 @@ SHORT = "6 hours"
 SLICES = 4
 
 
+FILE_ROWS = 10_000  # at least, in a file of a slice of several files
+
+
 def _timed_stream(spark, sf):
-    """The events as files in the order of time, one file a batch, with a short watermark."""
+    """The events as files in the order of time, with a short watermark.
+
+    A slice of time is a batch: all slices have the same number of files and a batch takes that many. Were
+    the files of a slice several batches, rows would come behind the watermark and be lost, and the
+    number of batches would grow with the table.
+    """
     folder = scratch_path(spark, "events")
     events = fx.table(spark, sf, "events")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     cuts = events.select(at.alias("us")).approxQuantile("us", [i / SLICES for i in range(1, SLICES)], 0.01)
+    slices = []
     for low, high in zip([None, *cuts], [*cuts, None]):
         kept = F.lit(True) if low is None else at > int(low)
-        kept = kept if high is None else kept & (at <= int(high))
-        events.filter(kept).write.mode("append").parquet(folder)
-    stream = S.read_stream(spark, folder, "*.parquet", files_per_trigger=1)
+        slices.append(kept if high is None else kept & (at <= int(high)))
+    fewest = min(events.agg(*[F.count_if(kept) for kept in slices]).first())
+    files = max(1, min(spark.sparkContext.defaultParallelism, fewest // FILE_ROWS))
+    for kept in slices:
+        events.filter(kept).repartition(files).write.mode("append").parquet(folder)
+    stream = S.read_stream(spark, folder, "*.parquet", files_per_trigger=files)
     return S.with_event_time(fx.as_activity(stream), delay=SHORT)
 
 

@@ -1,36 +1,63 @@
 """Streams with keyed state and timers: limits over a window that moves, rooms joined and left.
 
-Rows wait in the state of their key until the watermark has passed them, and are then taken in the
+Rows wait in the state until the watermark has passed them, and are then taken in the
 order of time and id. So results do not depend on how rows fall into batches, and the state holds what
-is younger than the watermark plus what the rule itself looks back on.
+is younger than the watermark plus what the rule itself looks back on. Users share the state of a
+bucket: a batch costs one call per bucket, not one per user.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator, Mapping
-from itertools import groupby
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 MICROS = 1000  # of a millisecond, the unit of watermarks and timers
+BUCKETS = 512
 
 
-def _due(
-    state: GroupState, frames: Iterator[pd.DataFrame], waiting: list[tuple], columns: list[str],
-) -> tuple[list[tuple], list[tuple]]:
-    """(rows the watermark has passed, in order; rows that still wait); the first two columns are time and id."""
-    rows = waiting + [row for frame in frames for row in frame[columns].itertuples(index=False, name=None)]
-    rows.sort(key=lambda r: r[:2])
-    passed = state.getCurrentWatermarkMs() * MICROS
-    return [r for r in rows if r[0] // MICROS * MICROS < passed], [r for r in rows if r[0] // MICROS * MICROS >= passed]
+def _keyed(events: DataFrame, *more: Column) -> DataFrame:
+    """The events by bucket of users, with nulls of the ids in columns of their own; rows without time never pass."""
+    return events.filter(F.col("ts").isNotNull()).select(
+        F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)).cast("int").alias("bucket"), "ts", F.unix_micros("ts").alias("us"),
+        F.coalesce("user_id", F.lit(0)).cast("bigint").alias("user"), F.col("user_id").isNull().alias("no_user"),
+        F.coalesce("event_id", F.lit(0)).cast("bigint").alias("event"), F.col("event_id").isNull().alias("no_event"), *more)
 
 
-def _wait(state: GroupState, *micros: int) -> None:
-    """A timer for the earliest of these times."""
-    state.setTimeoutTimestamp(max(min(micros) // MICROS, state.getCurrentWatermarkMs(), 1))
+def _held(state: GroupState, frames: Iterator[pd.DataFrame], types: Mapping[str, str]) -> dict[str, np.ndarray]:
+    """The columns of the rows in the state and of the new ones; the state begins with these columns."""
+    old = list(state.get)[:len(types)] if state.exists else [[] for _ in types]
+    new = list(frames)
+    return {
+        name: np.concatenate([np.asarray(list(had), kind), *(f[name].to_numpy(kind) for f in new)])
+        for (name, kind), had in zip(types.items(), old)}
+
+
+def _passed(us: np.ndarray, state: GroupState) -> np.ndarray:
+    return us // MICROS < state.getCurrentWatermarkMs()
+
+
+def _keep(state: GroupState, kept: tuple[list, ...], micros: int | None) -> None:
+    """The state and a timer for ``micros``, or no state if that is None."""
+    if micros is not None:
+        state.update(kept)
+        state.setTimeoutTimestamp(max(micros // MICROS, state.getCurrentWatermarkMs(), 1))
+    elif state.exists:
+        state.remove()
+
+
+def _up_to(who: np.ndarray, us: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """For each row how many rows of smaller users, or of its user and not later than its ``limit``, there are."""
+    n = len(us)
+    asks = np.repeat([False, True], n)
+    order = np.lexsort((asks, np.concatenate([us, limit]), np.concatenate([who, who])))
+    counts = np.empty(2 * n, np.int64)
+    counts[order] = np.cumsum(~asks[order])
+    return counts[n:]
 
 
 def moving_breaches(events: DataFrame, limits: Mapping[str, tuple[int, int]]) -> DataFrame:
@@ -39,38 +66,42 @@ def moving_breaches(events: DataFrame, limits: Mapping[str, tuple[int, int]]) ->
     ``limits`` maps an action to (seconds, most events); ``*`` counts all actions. ``n`` events of
     the user lie in the ``seconds`` up to and with the event. The stream ``events(user_id,
     action, event_id, ts)`` needs a watermark on ts; rows behind it are lost, rows younger than it wait.
-    A user's state is the times within the widest window.
+    The state is the rows within the widest window.
     """
-    counted = events.withColumn("action", F.explode(F.array("action", F.lit("*")))).filter(
-        F.col("action").isin(list(limits))).withColumn("us", F.unix_micros("ts"))
+    names = list(limits)
+    widest = max(seconds for seconds, _ in limits.values()) * 1_000_000
+    code = F.lit(-1)
+    for i, name in enumerate(names):
+        code = F.when(F.col("action") == name, i).otherwise(code)
+    types = {"us": "int64", "user": "int64", "no_user": "bool", "event": "int64", "no_event": "bool", "code": "int64", "taken": "bool"}
 
     def check(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        user, action = key
-        seconds, most = limits[action]
-        times, us, ids = (list(v) for v in state.get) if state.exists else ([], [], [])
-        due, waiting = _due(state, frames, list(zip(us, ids)), ["us", "event_id"])
-        out = []
-        for now, tied in groupby(due, key=lambda r: r[0]):  # equal times count each other
-            same = [event for _, event in tied]
-            times += [now] * len(same)
-            times = times[bisect_right(times, now - seconds * 1_000_000):]
-            if len(times) > most:
-                out += [(user, action, event, now, len(times)) for event in same]
-        if times or waiting:
-            state.update((times, [r[0] for r in waiting], [r[1] for r in waiting]))
-            ends = [times[-1] + seconds * 1_000_000] if times else []
-            if state.getCurrentWatermarkMs() * MICROS > max(ends, default=0) and not waiting:
-                state.remove()
-            else:
-                _wait(state, *ends, *[r[0] for r in waiting])
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["user_id", "action", "event_id", "us", "n"])
-
-    found = counted.select("user_id", "action", "event_id", "us", "ts").groupBy("user_id", "action").applyInPandasWithState(
-        check, "user_id bigint, action string, event_id bigint, us bigint, n bigint",
-        "times array<bigint>, us array<bigint>, ids array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
-    return found.select("user_id", "action", "event_id", F.timestamp_micros("us").alias("ts"), "n")
+        rows = _held(state, frames, types)
+        us, passed = rows["us"], _passed(rows["us"], state)
+        who = np.unique(rows["user"], return_inverse=True)[1] * 2 + rows["no_user"]
+        for i, name in enumerate(names):
+            seconds, most = limits[name]
+            at = np.flatnonzero(passed if name == "*" else passed & (rows["code"] == i))
+            # equal times count each other
+            n = _up_to(who[at], us[at], us[at]) - _up_to(who[at], us[at], us[at] - seconds * 1_000_000)
+            over = (n > most) & ~rows["taken"][at]
+            out = {c: rows[c][at[over]] for c in ("user", "no_user", "event", "no_event", "us")}
+            yield pd.DataFrame({**out, "action": name, "n": n[over]})
+        kept = ~passed | (us > state.getCurrentWatermarkMs() * MICROS - widest)
+        rows["taken"] = passed
+        least = None
+        if kept.any():
+            least = int(us[kept].max()) + widest if passed[kept].all() else int(us[~passed].min())
+        _keep(state, tuple(v[kept].tolist() for v in rows.values()), least)
+
+    counted = events if "*" in limits else events.filter(F.col("action").isin(names))
+    found = _keyed(counted, code.alias("code"), F.lit(False).alias("taken")).groupBy("bucket").applyInPandasWithState(
+        check, "user bigint, no_user boolean, event bigint, no_event boolean, us bigint, action string, n bigint",
+        "us array<bigint>, user array<bigint>, no_user array<boolean>, event array<bigint>, no_event array<boolean>, "
+        "code array<bigint>, taken array<boolean>", "append", GroupStateTimeout.EventTimeTimeout)
+    return found.select(
+        F.when(~F.col("no_user"), F.col("user")).alias("user_id"), "action", F.when(~F.col("no_event"), F.col("event")).alias("event_id"),
+        F.timestamp_micros("us").alias("ts"), "n")
 
 
 def room_sessions(events: DataFrame, join: str, leave: str, timeout_seconds: int) -> DataFrame:
@@ -79,46 +110,53 @@ def room_sessions(events: DataFrame, join: str, leave: str, timeout_seconds: int
     An event ``join`` brings the user into the room of its entry, an event ``leave`` takes the
     user out of all rooms, and so does ``timeout_seconds`` without any event of the user, at the
     end of that time. A stay is returned when it ends. ``events(entry_id, user_id, event_id,
-    action, ts)`` needs a watermark on ts. A user's state is the open rooms.
+    action, ts)`` needs a watermark on ts. The state is the waiting rows and the open rooms.
     """
-    columns = ["us", "event_id", "action", "entry_id"]
     wait = timeout_seconds * 1_000_000
+    types = {"us": "int64", "user": "int64", "no_user": "bool", "event": "int64", "code": "int64", "entry": "int64"}
 
     def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        us, ids, actions, entries, rooms, starts, joins, last = state.get if state.exists else ([], [], [], [], [], [], [], 0)
-        due, waiting = _due(state, frames, list(zip(us, ids, actions, entries)), columns)
-        open_rooms = {r: [s, j] for r, s, j in zip(rooms, starts, joins)}
+        open_rooms: dict[tuple, dict[int, list[int]]] = defaultdict(dict)
+        last: dict[tuple, int] = {}
+        if state.exists:
+            for user, none, room, start, joins, at in zip(*list(state.get)[len(types):]):
+                open_rooms[user, none][room] = [start, joins]
+                last[user, none] = at
+        rows = _held(state, frames, types)
+        passed = _passed(rows["us"], state)
+        order = np.lexsort((rows["event"], rows["us"]))
         out: list[tuple] = []
 
-        def close(end: int, reason: str) -> None:
-            out.extend((room, key[0], start, end, n, reason) for room, (start, n) in open_rooms.items())
-            open_rooms.clear()
-
-        for now, _, action, entry in due:
-            if now >= last + wait:
-                close(last + wait, "timeout")
-            last = now
-            if action == leave:
-                close(now, "leave")
-            elif action == join:
-                open_rooms.setdefault(entry, [now, 0])[1] += 1
-        if (last + wait) // MICROS < state.getCurrentWatermarkMs():
-            close(last + wait, "timeout")
-        if open_rooms or waiting:
-            state.update((
-                *([r[i] for r in waiting] for i in range(4)), list(open_rooms),
-                [s for s, _ in open_rooms.values()], [j for _, j in open_rooms.values()], last))
-            _wait(state, *([last + wait] if open_rooms else []), *[r[0] for r in waiting])
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["entry_id", "user_id", "start", "end", "joins", "ended_by"])
-
-    found = events.filter(F.col("entry_id").isNotNull() | (F.col("action") != join)).select(
-        "user_id", F.coalesce("entry_id", F.lit(-1)).alias("entry_id"), "event_id", "action", "ts", F.unix_micros("ts").alias("us"),
-    ).groupBy("user_id").applyInPandasWithState(
-        follow, "entry_id bigint, user_id bigint, start bigint, end bigint, joins bigint, ended_by string",
-        "us array<bigint>, ids array<bigint>, actions array<string>, entries array<bigint>, rooms array<bigint>, "
-        "starts array<bigint>, joins array<bigint>, last bigint", "append", GroupStateTimeout.EventTimeTimeout)
+        def close(user: tuple, end: int, reason: str) -> None:
+            out.extend((room, *user, start, end, n, reason) for room, (start, n) in open_rooms.pop(user, {}).items())
+
+        for now, *who, _, code, entry in zip(*(v[order][passed[order]].tolist() for v in rows.values())):
+            user = tuple(who)
+            if user in last and now >= last[user] + wait:
+                close(user, last[user] + wait, "timeout")
+            last[user] = now
+            if code == 2:
+                close(user, now, "leave")
+            elif code == 1:
+                open_rooms[user].setdefault(entry, [now, 0])[1] += 1
+        for user in list(open_rooms):
+            if (last[user] + wait) // MICROS < state.getCurrentWatermarkMs():
+                close(user, last[user] + wait, "timeout")
+        rooms = [(*user, room, start, n, last[user]) for user, inside in open_rooms.items() for room, (start, n) in inside.items()]
+        waiting = [v[~passed].tolist() for v in rows.values()]
+        ends = [at + wait for *_, at in rooms] + waiting[0]
+        _keep(state, (*waiting, *([r[i] for r in rooms] for i in range(6))), min(ends, default=None))
+        yield pd.DataFrame(out, columns=["entry_id", "user", "no_user", "start", "end", "joins", "ended_by"])
+
+    code = F.when(F.col("action") == leave, 2).when(F.col("action") == join, 1).otherwise(0)
+    found = _keyed(
+        events.filter(F.col("entry_id").isNotNull() | (F.col("action") != join)),
+        code.alias("code"), F.coalesce("entry_id", F.lit(-1)).alias("entry"),
+    ).groupBy("bucket").applyInPandasWithState(
+        follow, "entry_id bigint, user bigint, no_user boolean, start bigint, end bigint, joins bigint, ended_by string",
+        "us array<bigint>, user array<bigint>, no_user array<boolean>, event array<bigint>, code array<bigint>, entry array<bigint>, "
+        "room_users array<bigint>, room_no_users array<boolean>, rooms array<bigint>, starts array<bigint>, joins array<bigint>, "
+        "lasts array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
     return found.select(
-        "entry_id", "user_id", F.timestamp_micros("start").alias("session_start"),
+        "entry_id", F.when(~F.col("no_user"), F.col("user")).alias("user_id"), F.timestamp_micros("start").alias("session_start"),
         F.timestamp_micros("end").alias("session_end"), "joins", "ended_by")

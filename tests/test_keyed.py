@@ -1,10 +1,13 @@
 """Keyed streams against plain Python, over files whose rows are out of order and tie."""
 
 import random
+import time
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from corvane.plans import stream_queries
 from corvane.streaming import activity as S, keyed
 
 BASE = pd.Timestamp("2024-01-01")
@@ -74,3 +77,38 @@ def test_rooms_are_left_by_event_or_time(spark, stream):
     got = [(r.entry_id, r.user_id, seconds(r.session_start), seconds(r.session_end), r.joins, r.ended_by)
            for r in S.appended_result(spark, out).collect()]
     assert {w[5] for w in want} == {"leave", "timeout"} and sorted(got) == sorted(want)
+
+
+def test_users_share_calls(spark, tmp_path):
+    """Many users of one event each: a call per bucket, whatever the number of users; null users and ids stay."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    users = 20000
+    frame = pd.DataFrame({
+        "event_id": pd.array([None, *range(1, 2 * users + 4)], "Int64"),
+        "user_id": pd.array([None] * 4 + list(range(users)) * 2, "Int64"), "action": "view", "entry_id": pd.array([1] * (2 * users + 4), "Int64"),
+        "ts": BASE + pd.to_timedelta([1] * 4 + [10] * users + [20] * users, unit="s")})
+    frame.loc[len(frame)] = [10**6, 0, "view", 1, BASE + pd.to_timedelta(10**6, unit="s")]
+    frame.to_parquet(folder / "part.parquet", coerce_timestamps="us")
+    events = S.with_event_time(S.read_stream(spark, str(folder), "*.parquet"), delay=f"{DELAY} seconds")
+    began = time.monotonic()
+    S.run_available(keyed.moving_breaches(events, {"view": (60, 1)}), str(tmp_path / "out"))
+    took = time.monotonic() - began
+    got = S.appended_result(spark, str(tmp_path / "out"))
+    assert got.filter("user_id is null").count() == 4 and got.filter("event_id is null").count() == 1
+    assert got.count() == users + 4 and got.filter("user_id is not null and n <> 2").count() == 0
+    assert took < 60
+
+
+def test_a_slice_of_time_is_one_batch(spark, tmp_path, monkeypatch):
+    """Events in files that all span the whole time: none is late, and the batches do not grow with the files."""
+    monkeypatch.setattr(stream_queries, "FILE_ROWS", 50)
+    spark.range(4000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 1000 * 600).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props"),
+    ).repartition(6, "user_id").write.parquet(str(tmp_path / "events.parquet"))
+    got = stream_queries.rate_limit_moving(spark, str(tmp_path))
+    rows = [(i, i % 7, i % 1000 * 600) for i in range(4000)]
+    want = {(i, n) for i, user, at in rows if at < 999 * 600 - 6 * 3600
+            for n in [sum(u == user and at - 86400 < t <= at for _, u, t in rows)] if n > 2}
+    assert {(r.event_id, r.n) for r in got.filter("action = 'click'").collect()} == want
