@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 from corvane.operators import decoding, ngrams, tokens
+from corvane.session import saved
 
 SENTENCES = [
     "Seven grey herons wait beside the old mill.", "Rain fell on the mill, and the herons left.",
@@ -132,3 +133,15 @@ def test_corpus_windows_cross_sequences_and_chunks(spark, sizes, batch):
     count = count if batch is None else count // batch * batch
     got = sorted(map(tuple, tokens.corpus_windows(df, 4, batch, chunk=7).collect()))
     assert got == [(i, flat[i:i + 4], flat[i + 1:i + 5]) for i in range(count)]
+
+
+def test_items_meet_again_without_another_shuffle(spark):
+    """Arrays are dealt out once, before their items become rows; wide columns go with one item only."""
+    vocab = saved(spark.createDataFrame([("a", 4), ("b", 5)], "token string, id int"), "vocab")
+    df = spark.createDataFrame([(1, ["a", None, "c"], "x"), (1, ["a", None, "c"], "x"), (None, [], None), (2, None, "z")],
+                               "id long, tokens array<string>, more string")
+    found = tokens.encode(df, vocab, add_special=False)
+    got = sorted(((r.id, r.tokens, r.more, r.ids) for r in found.collect()), key=str)
+    assert got == sorted([(1, ["a", None, "c"], "x", [4, 1, 1])] * 2 + [(None, [], None, []), (2, None, "z", [])], key=str)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.partition("Initial Plan")[0].count("Exchange hashpartitioning") <= 1
