@@ -104,3 +104,11 @@ def test_sentence_rows(spark):
     got = R.sentences_of(df).withColumn("sid", R.sentence_id()).orderBy("pos").collect()
     assert [(r["sid"], r["sentence"]) for r in got] == [("5-000000", "First one here."), ("5-000001", "Second one.")]
     assert T.MARK not in got[0]["sentence"]
+
+
+def test_no_row_per_pair_is_shuffled(spark):
+    queries = spark.createDataFrame([(1, ["a", "b"]), (2, ["b"])], "q long, q_tokens array<string>")
+    corpus = spark.createDataFrame([(i, ["a", "b", "c"][: i % 3 + 1]) for i in range(9)], "d long, tokens array<string>")
+    scores = R.bm25_scores(queries, corpus, "q", "d")
+    assert "hashpartitioning(query_id" not in scores._jdf.queryExecution().executedPlan().toString()
+    assert {(r.query_id, r.doc_id) for r in scores.collect()} == {(1, i) for i in range(9)} | {(2, i) for i in range(9) if i % 3}
