@@ -12,8 +12,9 @@ from corvane.functions import text as T
 from corvane.functions.lexicons import KB_TYPES
 from corvane.functions.staging import stage
 from corvane.operators.ngrams import char_grams
+from corvane.session import saved
 
-
+LANGUAGES = 64  # up to so many, each has a sum of its own in the row of a text
 
 def gazetteer_hits(tokens: Column, names: Sequence[str]) -> Column:
     """How many 1-3-grams of the token array are listed names.
@@ -265,20 +266,22 @@ def language_profiles(df: DataFrame, lang: str, id_col: str, content: str) -> Da
     """(gram, gains): add-one smoothed trigram models, one row per trigram.
 
     ``gains`` holds (lang, gain, missing) per language, where ``gain`` is what the trigram
-    adds to the log probability compared with an unseen one.
+    adds to the log probability compared with an unseen one. The counts are read three times and the
+    profiles are joined with every trigram of a text, so both are written; profiles that are small by the size of
+    their file are broadcast, and the texts' trigrams are not shuffled.
     """
     heads = df.select(
         F.col(lang).alias("lang"), F.col(content).alias("_head")
     )
-    counts = char_grams(heads, 2, "_head", "lang").groupBy("lang", "gram").agg(
+    counts = saved(char_grams(heads, 2, "_head", "lang").groupBy("lang", "gram").agg(
         F.count("*").alias("n")
-    )
+    ), "grams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     vocab = counts.agg(F.countDistinct("gram").alias("v")).select("v").scalar()
     missing = F.log(1 / (F.col("total") + vocab))
     gain = F.log((F.col("n") + 1) / (F.col("total") + vocab)) - missing
     entry = F.struct("lang", gain.alias("gain"), missing.alias("missing"))
-    return counts.join(totals, "lang").groupBy("gram").agg(F.collect_list(entry).alias("gains"))
+    return saved(counts.join(totals, "lang").groupBy("gram").agg(F.collect_list(entry).alias("gains")), "profiles")
 
 
 def detect_language(
@@ -290,13 +293,22 @@ def detect_language(
     value of an unseen one. A text meets each of its trigrams once in the join and is
     summed per language on the map side.
     """
-    matched = (
-        _head_grams(df, id_col, content)
-        .join(profiles, "gram")
-        .select("id", F.inline("gains"))
-        .groupBy("id", "lang")
-        .agg(F.sum("gain").alias("gain"), F.max("missing").alias("missing"))
-    )
+    found = profiles.select(F.inline("gains")).groupBy("lang").agg(F.max("missing").alias("missing"))
+    languages = found.orderBy("lang").limit(LANGUAGES + 1).collect()
+    grams = _head_grams(df, id_col, content)
+    if 0 < len(languages) <= LANGUAGES:  # one row per trigram with a sum per language, not one row per language
+        def gain(lang: str) -> Column:
+            return F.get(F.filter("gains", lambda g: g["lang"] == lang), 0)["gain"]
+
+        gains = [gain(r["lang"]).alias(f"_g{i}") for i, r in enumerate(languages)]
+        sums = grams.join(profiles.select("gram", *gains), "gram").groupBy("id").agg(
+            *[F.sum(f"_g{i}").alias(f"_g{i}") for i in range(len(languages))])
+        matched = sums.select("id", F.inline(F.array(*[
+            F.struct(F.lit(r["lang"]).alias("lang"), F.col(f"_g{i}").alias("gain"), F.lit(r["missing"]).alias("missing"))
+            for i, r in enumerate(languages)]))).filter("gain IS NOT NULL")
+    else:
+        matched = grams.join(profiles, "gram").select("id", F.inline("gains")).groupBy("id", "lang").agg(
+            F.sum("gain").alias("gain"), F.max("missing").alias("missing"))
     head = F.length(content)
     sizes = df.select(F.col(id_col).alias("id"), F.greatest(head - 2, F.lit(0)).alias("n_grams"))
     scored = matched.join(sizes, "id").select(

@@ -153,3 +153,19 @@ def test_iforest_trees_draw_from_all_rows(spark):
         drawn = anomalies.tree_samples(small.repartition(parts), 3, 50, 1)
         for tree, sample in enumerate(drawn):
             assert sample.tolist() == values[np.argsort(anomalies.tree_keys(base, tree))[:50]].tolist()
+
+
+def test_language_reads_its_counts_once_and_sums_languages_in_one_row(spark, monkeypatch):
+    rows = [(1, "en", "the cat and the dog"), (2, "fi", "kissa ja koira"), (3, None, "xyz"), (4, "sv", "en katt och en hund")]
+    train = spark.createDataFrame(rows, "id long, lang string, t string")
+    profiles = quality.language_profiles(train, "lang", "id", "t")
+    assert len(profiles.inputFiles()) > 0  # written, so that a small one is broadcast by its size
+    probe = spark.createDataFrame([(1, "the dog"), (2, "koira ja kissa"), (3, "qqqq"), (4, None), (5, "katt")], "id long, t string")
+
+    def found():
+        return sorted((r["id"], r["detected"], round(r["score"], 6)) for r in quality.detect_language(probe, profiles, content="t").collect())
+
+    narrow = found()
+    assert [x[:2] for x in narrow] == [(1, "en"), (2, "fi"), (5, "sv")]
+    monkeypatch.setattr(quality, "LANGUAGES", 2)  # more languages than columns: the same result
+    assert found() == narrow
