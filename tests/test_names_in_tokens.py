@@ -27,3 +27,12 @@ def test_polarity_looks_up_listed_tokens_only(spark):
     df = spark.createDataFrame([(["good", "x", "bad", "good"],), ([],), (["x"],), (None,)], "t array<string>")
     got = [r[0] for r in df.select(T.polarity(F.col("t"), {"good": 0.5, "bad": -0.2})).collect()]
     assert got[0] == (0.5 - 0.2 + 0.5) / 3 and got[1:] == [0.0, 0.0, 0.0]
+
+
+def test_ngrams_are_not_shuffled_to_meet_a_small_kb(spark):
+    kb = spark.createDataFrame([("red fox", "ORG"), ("a b c d", "WORK")], "text_lc string, type string")
+    df = spark.createDataFrame([(1, "the red fox sat"), (2, "a b c d e")], "id long, content string")
+    found = quality.entity_mentions(df, kb)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert {(r["id"], r["pos"], r["text"]) for r in found.collect()} == {(1, 1, "red fox"), (2, 0, "a b c d")}
