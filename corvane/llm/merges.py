@@ -9,9 +9,11 @@ token of the positions a token can still reach back to: a bounded window.
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 
 START = -1
+NEVER = float("inf")
 
 
 class Merger:
@@ -22,10 +24,17 @@ class Merger:
         self.rank = rank
         self.text = {i: piece for piece, i in ids.items()}
         self.longest = max(map(len, ids), default=1)
-        self._pairs: dict[tuple, bool] = {}
+        #: By left token: which tokens may stand behind it, as far as tried; ``held`` pairs in all.
+        self.known: defaultdict[int, dict[int, bool]] = defaultdict(dict)
+        self.held = 0
+        self._alone: dict[int, list[tuple] | None] = {}
 
-    def merge(self, units: Sequence) -> list:
-        """The tokens' texts by plain merging, best rank first, leftmost among equals."""
+    def merge(self, units: Sequence, steps: list | None = None) -> list:
+        """The tokens' texts by plain merging, best rank first, leftmost among equals.
+
+        ``steps`` gets (rank of the merge, first part, last part) per merge, the parts as they are before it.
+        """
+        end = len(units) - 1
         parts, after = list(units), list(range(1, len(units) + 1))
         before = list(range(-1, len(units) - 1))
         heap: list[tuple] = []
@@ -39,10 +48,14 @@ class Merger:
         for at in range(len(parts)):
             offer(at)
         while heap:
-            _, at, left, right = heapq.heappop(heap)
+            rank, at, left, right = heapq.heappop(heap)
             if parts[at] != left or after[at] >= len(parts) or parts[after[at]] != right:
                 continue
+            if steps is not None:
+                steps.append((rank, parts[0], parts[end]))
             gone = after[at]
+            if gone == end:
+                end = at
             parts[at], parts[gone] = left + right, None
             after[at] = after[gone]
             if after[at] < len(parts):
@@ -53,17 +66,50 @@ class Merger:
 
     def follows(self, left: int, right: int) -> bool:
         """May token ``right`` stand directly behind token ``left``?"""
-        if left == START:
-            return True
-        known = self._pairs.get((left, right))
+        behind = self.known[left]
+        known = behind.get(right)
         if known is None:
-            a, b = self.text[left], self.text[right]
-            known = self.merge([*self.units(a), *self.units(b)]) == [a, b]
-            if len(self._pairs) >= 1 << 18:
-                self._pairs.clear()
-            self._pairs[left, right] = known
+            known = left == START or self._apart(left, right)
+            if self.held >= 1 << 18:
+                for pairs in self.known.values():
+                    pairs.clear()
+                self.held = 0
+            self.held += 1
+            behind[right] = known
         return known
 
+    def _apart(self, left: int, right: int) -> bool:
+        """Does merging the joined text of two tokens give the two?
+
+        Until something merges across the border both sides merge as they would alone, so only the
+        last part of the left and the first of the right can meet, at the time when their rank is the best.
+        """
+        first, second = self._steps(left), self._steps(right)
+        if first is None or second is None:
+            return False
+        i = j = 0
+        met = None
+        while True:
+            (mine, _, end), (other, start, _) = first[i], second[j]
+            if met != (end, start):
+                met, across = (end, start), self.rank(end, start)
+            if across is not None and across < mine and across <= other:
+                return False
+            if mine <= other:
+                if mine == NEVER:
+                    return True
+                i += 1
+            else:
+                j += 1
+
+    def _steps(self, token: int) -> list[tuple] | None:
+        """The merges that make a token of its units, as ``merge`` gives them; None if they make something else."""
+        if token not in self._alone:
+            text, steps = self.text[token], []
+            made = self.merge(self.units(text), steps) == [text]
+            self._alone[token] = [*steps, (NEVER, text, text)] if made else None
+        return self._alone[token]
+
     @staticmethod
     def units(text) -> list:
         return [text[i:i + 1] for i in range(len(text))]

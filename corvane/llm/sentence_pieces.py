@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -12,18 +14,18 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corvane.llm.common import parts, whole, with_whole
-from corvane.llm.merges import START, Merger, Transducer
+from corvane.llm.merges import START, Merger
 
 MARK = "▁"  # stands for a space inside pieces
 SEGMENT = re.compile(r" *[^ ]+| +")
 CHECK_EVERY = 32
+MARKS = frozenset(".,;:!?")
 
 
 class Pieces(dict):
-    """A model's pieces; as a dict, ids of the segments met before (bounded)."""
+    """A model's pieces; as a dict, packed ids of the segments met before (bounded)."""
 
-    LIMIT = 100_000
-    STATES = 1 << 17
+    LIMIT = 1 << 18
 
     def __init__(self, path: str):
         import sentencepiece
@@ -38,10 +40,17 @@ class Pieces(dict):
         self.byte_id = {int(model.id_to_piece(i)[3:5], 16): i for i in bytes_at}
         self.unknown = model.unk_id()
         self.merger = Merger(names, lambda a, b: ranks.get(a + b))
-        self.machine = Transducer(self.merger, "", self.STATES)
+        #: The pieces character by character: each leads to (id of the piece that ends here, what may follow).
+        self.root: dict[str, tuple] = {}
+        for name in sorted(names):  # a beginning comes before what it begins
+            node = self.root
+            for char in name[:-1]:
+                node = node.setdefault(char, (None, {}))[1]
+            node[name[-1]] = (names[name], {})
         self.sizes = {i: len(name) for name, i in names.items()}
         # a piece never holds a space behind another character, so segments don't interact
         self.split = not any(" " in name.lstrip(" ") for name in names)
+        self.inside = {name[i:i + 2] for name in names for i in range(len(name) - 1)}
         self.raw = [b""] * len(ids)
         for name, i in names.items():
             self.raw[i] = name.encode()
@@ -61,76 +70,102 @@ class Pieces(dict):
         released boundary. Paths can only go on from the last window of the longest piece's
         length; whenever the paths of all its positions run through one boundary, everything
         before that is released. Scores only order merges in these models, so the best path to
-        a position is the one whose last token may follow the one before it; it is unique, and
-        the compiled transitions of ``Transducer`` give it.
+        a position is the one whose last token may follow the one before it; it is unique.
         """
-        machine, sizes, longest = self.machine, self.sizes, self.merger.longest
-        if machine.full():
-            machine.reset()
-        last: list[int | str] = [START]
-        state = 0
-
-        def release(until: int) -> list[int]:
-            path = []
-            while until > 0:
-                token = last[until]
-                if isinstance(token, str):
-                    path += reversed(self.spell(token))
-                    until -= 1
-                else:
-                    path.append(token)
-                    until -= sizes[token]
-            return path[::-1]
-
-        for char in units:
-            step = machine.table[state].get(char) or machine.compile(state, char)
-            state, token = step[0], step[1]
-            last.append(char if token is None else token)
-            if len(last) >= CHECK_EVERY:
-                end = len(last) - 1
-                if end % CHECK_EVERY or end < 2 * longest:
-                    continue
-                meet = {*range(end - longest, end + 1)}
-                while len(meet) > 1:  # the newest of the boundaries steps back
-                    at = max(meet)
-                    meet.discard(at)
-                    token = last[at]
-                    meet.add(at - 1 if isinstance(token, str) else at - sizes[token])
-                boundary = meet.pop()
-                if boundary > 0:
-                    yield from release(boundary)
-                    last = [START, *last[boundary + 1:]]
-        yield from release(len(last) - 1)
-
-    def __missing__(self, segment: str) -> tuple[int, ...]:
+        sizes, longest = self.sizes, self.merger.longest
+        last: list[int | str | None] = [START]
+        text, at = "", 0
+        units = iter(units)
+        while more := "".join(islice(units, CHECK_EVERY)):
+            text += more
+            last += [None] * len(more)
+            end = len(text) - longest  # no token that starts before it needs a later character
+            if end < max(CHECK_EVERY, 2 * longest):
+                continue
+            self._search(text, last, at, end + 1)
+            at = end + 1
+            meet = {*range(end - longest, end + 1)}
+            while len(meet) > 1:  # the newest of the boundaries steps back
+                newest = max(meet)
+                meet.discard(newest)
+                token = last[newest]
+                meet.add(newest - 1 if isinstance(token, str) else newest - sizes[token])
+            boundary = meet.pop()
+            if boundary > 0:
+                yield from self._path(last, boundary)
+                last, text, at = last[boundary:], text[boundary:], at - boundary
+        self._search(text, last, at, len(text) + 1)
+        yield from self._path(last, len(text))
+
+    def _path(self, last: list[int | str | None], until: int) -> list[int]:
+        """Ids of the best path to a position."""
+        path = []
+        while until > 0:
+            token = last[until]
+            if isinstance(token, str):
+                path += reversed(self.spell(token))
+                until -= 1
+            else:
+                path.append(token)
+                until -= self.sizes[token]
+        return path[::-1]
+
+    def _search(self, text: str, last: list[int | str | None], first: int, stop: int) -> None:
+        """Fill ``last`` up to ``stop``, and behind it with what the tokens that start before ``stop`` give.
+
+        Earlier starts come first, so a position gets the longest token that may end there.
+        """
+        root, known, follows, longest = self.root, self.merger.known, self.merger.follows, self.merger.longest
+        for at in range(first, stop):
+            before = last[at]
+            if before is None:  # no token ends here
+                before = last[at] = text[at - 1]
+            if before.__class__ is str:
+                before = START
+            behind = known[before].get
+            end, node = at, root
+            for char in text[at:at + longest]:
+                found = node.get(char)
+                if found is None:
+                    break
+                end += 1
+                token, node = found
+                if token is not None and last[end] is None:
+                    may = behind(token)
+                    if may or (may is None and follows(before, token)):
+                        last[end] = token
+
+    def __missing__(self, segment: str) -> bytes:
         if segment.startswith("  "):  # runs of spaces tie in score: merge them literally
             found: list[int] = []
             for part in self.merger.merge(list(segment)):
                 token = self.merger.ids.get(part)
                 found += self.spell(part) if token is None else [token]
-            result = tuple(found)
+            ids = found
+        elif 2 < len(segment) <= CHECK_EVERY and segment[-1] in MARKS and segment[-2:] not in self.inside:
+            return self[segment[:-1]] + self[segment[-1]]  # no piece crosses this border
+        elif len(segment) <= CHECK_EVERY:  # nothing could be released earlier
+            last = [START, *[None] * len(segment)]
+            self._search(segment, last, 0, len(segment) + 1)
+            ids = self._path(last, len(segment))
         else:
-            result = tuple(self.stream(segment))
+            ids = self.stream(segment)
+        result = array("i", ids).tobytes()
         if len(self) >= self.LIMIT:
             self.clear()
         if len(segment) < 64:
             self[segment] = result
         return result
 
-    def free(self) -> None:
-        """Forget what was met in the texts: workers live on between tasks."""
-        self.clear()
-        self.machine.reset()
-        self.merger._pairs.clear()
-
-    def encode(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
+        """Ids of a text, four bytes each."""
         if not text:
-            return []
+            return b""
         text = " " + text.replace(MARK, " ")
-        out: list[int] = []
-        for segment in SEGMENT.findall(text) if self.split else [text]:
-            out += self[segment]
-        return out
+        return b"".join(map(self.__getitem__, SEGMENT.findall(text) if self.split else [text]))
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -148,12 +183,12 @@ def _mapped(docs: DataFrame, model: str, text_col: str, name: str, back: str | N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_pieces = pieces(model)
         for batch in parts(batches):
-            lists = [model_pieces.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int32))
-            texts = [pa.array(map(model_pieces.decode, lists), pa.string())] if back else []
+            lists = [model_pieces.packed(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            offsets = np.cumsum([0, *(len(x) // 4 for x in lists)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(lists), np.int32))
+            texts = [pa.array([model_pieces.decode(np.frombuffer(x, np.int32).tolist()) for x in lists],
+                              pa.string())] if back else []
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, *texts], schema=target)
-        model_pieces.free()
 
     kept = docs.drop(name, *([back] if back else []))
     more = [(name, pa.list_(pa.int32())), *([(back, pa.string())] if back else [])]
