@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as ST
 
 from corvane.operators.similarity import (
-    BLOCK_ROWS, DIGITS, SLICE_ROWS, _keyed, _matrix, in_block_grid, top_matches,
+    DIGITS, SEARCH_ROWS, SLICE_ROWS, _block_of, _blocks_for, _keyed, _matrix, top_matches,
 )
 from corvane.session import cut
 
@@ -18,26 +18,58 @@ def _joining_edges(
 ) -> list[tuple[int, int]]:
     """A spanning forest of the matches between two blocks of vectors.
 
-    Nodes carry the label of their group so far; a row adds one edge per group it joins.
+    Nodes carry the label of their group so far; a row adds one edge per group it joins. Products are
+    taken in single precision first; those that may reach the threshold, with all that single precision
+    can be off, and would join two groups, are taken again in double precision. Rows that one group
+    holds already are not multiplied with each other.
     """
     label = np.arange(nodes)
     edges: list[tuple[int, int]] = []
+    lengths = np.sqrt((right * right).sum(axis=1))
+    longest = lengths[np.isfinite(lengths)].max(initial=0.0)
+    error = np.sqrt((left * left).sum(axis=1)) * longest * (left.shape[1] + 8) * 2.0 ** -23
+    least = threshold - error - 10.0 ** -DIGITS
+    rough_left, rough_right = left.astype(np.float32), right.astype(np.float32)
     for at in range(0, len(left), SLICE_ROWS):
-        sims = np.round(left[at:at + SLICE_ROWS] @ right.T, DIGITS)
-        for row in np.flatnonzero((sims >= threshold).any(axis=1)):
-            me = left_nodes[at + row]
-            hits = right_nodes[sims[row] >= threshold]
-            groups, first = np.unique(label[hits], return_index=True)
-            for group, where in zip(groups, first):
-                if group != label[me]:
-                    edges.append((me, hits[where]))
-                    label[label == group] = label[me]
+        for low in range(0, len(right), SLICE_ROWS):
+            own = label[left_nodes[at:at + SLICE_ROWS]]
+            others = label[right_nodes[low:low + SLICE_ROWS]]
+            found, counts = np.unique(np.concatenate([own, others]), return_counts=True)
+            common = found[counts.argmax()]  # pairs within one group need no product
+            for rows, columns in (
+                (np.flatnonzero(own != common), np.arange(len(others))),
+                (np.flatnonzero(own == common), np.flatnonzero(others != common)),
+            ):
+                rows, columns = rows + at, columns + low
+                if not len(rows) or not len(columns):
+                    continue
+                near = rough_left[rows] @ rough_right[columns].T >= least[rows, None]
+                for row in np.flatnonzero(near.any(axis=1)):
+                    me, some = left_nodes[rows[row]], columns[near[row]]
+                    some = some[label[right_nodes[some]] != label[me]]
+                    some = some[np.round(right[some] @ left[rows[row]], DIGITS) >= threshold]
+                    hits = right_nodes[some]
+                    groups, first = np.unique(label[hits], return_index=True)
+                    for group, where in zip(groups, first):
+                        edges.append((me, hits[where]))
+                        label[label == group] = label[me]
     return edges
 
 
+def _block_pairs(rows: DataFrame, block_rows: int):
+    """The rows cut into hash blocks and copied so that each pair of blocks meets once, as (lb, rb) with lb <= rb."""
+    blocks = _blocks_for(rows.count(), block_rows)
+    left = rows.withColumn("lb", _block_of(blocks)).withColumn(
+        "rb", F.explode(F.sequence("lb", F.lit(blocks - 1))))
+    renamed = rows.select(*[F.col(c).alias(c) for c in rows.columns])
+    right = renamed.withColumn("rb", _block_of(blocks)).withColumn(
+        "lb", F.explode(F.sequence(F.lit(0), F.col("rb"))))
+    return left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb"))
+
+
 def similarity_edges(
     vectors: DataFrame, threshold: float, dim: int, id_col: str = "id", vec: str = "vec",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = SEARCH_ROWS,
 ) -> DataFrame:
     """Edges (a, b) that connect exactly what all pairs with cosine >= threshold connect.
 
@@ -49,7 +81,7 @@ def similarity_edges(
     schema = ST.StructType([ST.StructField("a", kind), ST.StructField("b", kind)])
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right) or left["lb"].iloc[0] > right["rb"].iloc[0]:
+        if not len(left) or not len(right):
             return pd.DataFrame({"a": [], "b": []})
         ids = pd.unique(pd.concat([left["id"], right["id"]], ignore_index=True))
         at = pd.Index(ids)
@@ -60,7 +92,7 @@ def similarity_edges(
         )
         return pd.DataFrame({"a": [ids[x] for x, _ in edges], "b": [ids[y] for _, y in edges]})
 
-    return in_block_grid(rows, rows, block_rows).applyInPandas(meet, schema)
+    return _block_pairs(rows, block_rows).applyInPandas(meet, schema)
 
 
 def connected_components(
@@ -98,7 +130,7 @@ def connected_components(
 
 def cluster_vectors(
     vectors: DataFrame, threshold: float, dim: int, id_col: str = "id", vec: str = "vec",
-    min_size: int = 2, block_rows: int = BLOCK_ROWS,
+    min_size: int = 2, block_rows: int = SEARCH_ROWS,
 ) -> DataFrame:
     """(id, cluster): components of the similarity graph; small ones are noise, -1."""
     edges = similarity_edges(vectors, threshold, dim, id_col, vec, block_rows)
