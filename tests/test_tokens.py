@@ -146,3 +146,16 @@ def test_items_meet_again_without_another_shuffle(spark):
     assert got == sorted([(1, ["a", None, "c"], "x", [4, 1, 1])] * 2 + [(None, [], None, []), (2, None, "z", [])], key=str)
     assert plan.count("REPARTITION_BY_COL") >= 1 and "hashpartitioning(_row" in plan
     assert not [line for line in plan.splitlines() if "hashpartitioning" in line and "ENSURE_REQUIREMENTS" in line]
+
+
+def test_windows_make_their_sequences_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<int>")
+    def ids(i):
+        made.add(1)
+        return list(range(i))
+
+    df = spark.range(40).repartition(3).select("id", ids("id").alias("ids"))
+    assert tokens.corpus_windows(df, 4, chunk=16).count() == sum(range(40)) - 4
+    assert made.value < 2 * 40  # a filter may ask once more for a row that it keeps, the sort and the total not at all
