@@ -23,9 +23,12 @@ MARKS = frozenset(".,;:!?")
 
 
 class Pieces(dict):
-    """A model's pieces; as a dict, packed ids of the segments met before (bounded)."""
+    """A model's pieces; as a dict, packed ids of the segments met before (bounded).
 
-    LIMIT = 1 << 18
+    A full dict becomes ``older``, from which segments that are met again come back, so common ones stay.
+    """
+
+    LIMIT = 1 << 18  # of each of the two
 
     def __init__(self, path: str):
         import sentencepiece
@@ -57,6 +60,7 @@ class Pieces(dict):
         for byte, i in self.byte_id.items():
             self.raw[i] = bytes([byte])
         self.raw[self.unknown] = " ⁇ ".encode()
+        self.older: dict[str, bytes] = {}
 
     def spell(self, char: str) -> list[int]:
         """Ids of a character that no piece holds."""
@@ -136,6 +140,8 @@ class Pieces(dict):
                         last[end] = token
 
     def __missing__(self, segment: str) -> bytes:
+        if (known := self.older.get(segment)) is not None:
+            return self._keep(segment, known)
         if segment.startswith("  "):  # runs of spaces tie in score: merge them literally
             found: list[int] = []
             for part in self.merger.merge(list(segment)):
@@ -151,10 +157,13 @@ class Pieces(dict):
         else:
             ids = self.stream(segment)
         result = array("i", ids).tobytes()
+        return self._keep(segment, result) if len(segment) < 64 else result
+
+    def _keep(self, segment: str, result: bytes) -> bytes:
         if len(self) >= self.LIMIT:
+            self.older = dict(self)
             self.clear()
-        if len(segment) < 64:
-            self[segment] = result
+        self[segment] = result
         return result
 
     def packed(self, text: str) -> bytes:

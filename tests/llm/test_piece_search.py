@@ -31,3 +31,18 @@ def test_merging_is_done_per_token_not_per_pair(monkeypatch):
     found = [own.encode(t) for t in texts]
     assert found == [library.encode(t) for t in texts]
     assert len(calls) <= len(own.merger._alone) < own.merger.held / 2
+
+
+def test_common_segments_stay_when_the_memo_is_full(monkeypatch):
+    monkeypatch.setattr(Pieces, "LIMIT", 8)
+    own, searched = Pieces(vocabulary(PIECES)), []
+    search = Pieces._search
+    monkeypatch.setattr(Pieces, "_search", lambda self, text, *rest: searched.append(text) or search(self, text, *rest))
+    whole = Pieces(vocabulary(PIECES))
+    for n in range(200):
+        text = f"common word{n} other"
+        whole.clear()
+        whole.older = {}
+        assert own.encode(text) == whole.encode(text)
+        assert len(own) <= 8 and len(own.older) <= 8
+    assert searched.count(" common") == 201 and searched.count(" other") == 201  # 200 of them by ``whole``
